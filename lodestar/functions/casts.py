@@ -15,7 +15,7 @@ def safe_cast(c, data_type: str) -> Column:
 
 def parse_date(c, fmt: str = "yyyyMMdd") -> Column:
     """Text (or number) in ``fmt`` to DATE; unreadable values become NULL."""
-    return F.try_to_date(as_col(c).try_cast("string"), F.lit(fmt))
+    return F.try_to_date(as_col(c).try_cast("string"), fmt)
 
 
 def safe_date(c) -> Column:
