@@ -39,18 +39,18 @@ def fit_series_models(long: DataFrame, ids: list[str], ts: str, value: str) -> D
     aic_ar0, aic_ar1."""
     x = _lagged(long, ids, ts, value)
     diff = x.groupBy(*ids).agg(
-        F.when(F.var_samp("__dy") < F.var_samp(value), F.lit(1)).otherwise(F.lit(0)).alias("d"))
+        F.when(F.var_samp("__dy") < F.var_samp(value), F.lit(1)).otherwise(F.lit(0)).alias("__d"))
     w = Window.partitionBy(*ids).orderBy(ts)
     z = x.join(diff, ids).withColumn(
-        "__z", F.when(F.col("d") == 1, F.col("__dy")).otherwise(F.col(value)))
+        "__z", F.when(F.col("__d") == 1, F.col("__dy")).otherwise(F.col(value)))
     z = z.withColumn("__z1", F.lag("__z", 1).over(w))
     st = z.groupBy(*ids).agg(
-        F.first("d").alias("d"),
+        F.first("__d").alias("__d"),
         F.avg("__z").alias("__mu"), F.count("__z").alias("__n0"),
         F.regr_intercept("__z", "__z1").alias("__a"), F.regr_slope("__z", "__z1").alias("__b"),
         F.regr_count("__z", "__z1").alias("__n1"))
-    r = z.drop("d").join(st, ids).groupBy(*ids).agg(
-        F.first("d").alias("d"), F.first("__mu").alias("__mu"), F.first("__n0").alias("__n0"),
+    r = z.drop("__d").join(st, ids).groupBy(*ids).agg(
+        F.first("__d").alias("__d"), F.first("__mu").alias("__mu"), F.first("__n0").alias("__n0"),
         F.first("__a").alias("__a"), F.first("__b").alias("__b"), F.first("__n1").alias("__n1"),
         F.sum(F.pow(F.col("__z") - F.col("__mu"), 2)).alias("__rss0"),
         F.sum(F.pow(F.col("__z") - (F.col("__a") + F.col("__b") * F.col("__z1")), 2)).alias("__rss1"))
@@ -60,7 +60,7 @@ def fit_series_models(long: DataFrame, ids: list[str], ts: str, value: str) -> D
     r = r.withColumns({"aic_ar0": aic0, "aic_ar1": aic1})
     p1 = F.coalesce(F.col("aic_ar1") < F.col("aic_ar0"), F.lit(False))
     return r.select(
-        *ids, "d", F.when(p1, F.lit(1)).otherwise(F.lit(0)).alias("p"),
+        *ids, F.col("__d").alias("d"), F.when(p1, F.lit(1)).otherwise(F.lit(0)).alias("p"),
         F.col("__n0").alias("n"),
         F.when(p1, F.col("__a")).otherwise(F.col("__mu")).alias("intercept"),
         F.when(p1, F.col("__b")).otherwise(F.lit(0.0)).alias("phi"),
@@ -74,19 +74,20 @@ def detect_anomalies(long: DataFrame, params: DataFrame, ids: list[str], ts: str
     """Score every point of the training history against its series model.
     Adds is_anomaly, lower_bound, upper_bound, anomaly_probability."""
     zq = NormalDist().inv_cdf((1.0 + threshold) / 2.0)
-    x = _lagged(long, ids, ts, value).join(params.select(*ids, "d", "p", "intercept", "phi", "sigma"),
-                                          ids, "left")
+    pr = params.select(*ids, *[F.col(c).alias(f"__{c}") for c in ("d", "p", "intercept", "phi", "sigma")])
+    x = _lagged(long, ids, ts, value).join(pr, ids, "left")
     w = Window.partitionBy(*ids).orderBy(ts)
-    z = F.when(F.col("d") == 1, F.col("__dy")).otherwise(F.col(value))
+    z = F.when(F.col("__d") == 1, F.col("__dy")).otherwise(F.col(value))
     x = x.withColumn("__z1", F.lag(z, 1).over(w))
-    fz = F.when(F.col("p") == 1, F.col("intercept") + F.col("phi") * F.col("__z1")).otherwise(F.col("intercept"))
-    fy = F.when(F.col("d") == 1, F.col("__y1") + fz).otherwise(fz)
+    fz = F.when(F.col("__p") == 1, F.col("__intercept") + F.col("__phi") * F.col("__z1")).otherwise(
+        F.col("__intercept"))
+    fy = F.when(F.col("__d") == 1, F.col("__y1") + fz).otherwise(fz)
     x = x.withColumn("__f", fy).withColumn("__e", F.col(value) - F.col("__f"))
-    band = F.lit(zq) * F.col("sigma")
+    band = F.lit(zq) * F.col("__sigma")
     return x.select(
         *ids, ts, value,
         F.coalesce(F.abs(F.col("__e")) > band, F.lit(False)).alias("is_anomaly"),
         (F.col("__f") - band).alias("lower_bound"),
         (F.col("__f") + band).alias("upper_bound"),
-        F.when(F.col("sigma") > 0, two_sided_probability(F.col("__e") / F.col("sigma")))
+        F.when(F.col("__sigma") > 0, two_sided_probability(F.col("__e") / F.col("__sigma")))
         .alias("anomaly_probability"))

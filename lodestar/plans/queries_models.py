@@ -13,14 +13,22 @@ from .chain import SERIES_METRICS
 from .queries_series import market_series_df
 from .registry import register
 from .standins import table
+from ..session import materialize
 
 IDS = ["is_target_segment", "dim_metric_name"]
 KEYS = ["dim_collected_date", "is_target_segment"]
 ROUND_DET = {"lower_bound": 2, "upper_bound": 2, "anomaly_probability": 6}
 
 
-def long_series(spark, sf_dir):
-    return unpivot_metrics(market_series_df(spark, sf_dir), KEYS, SERIES_METRICS)
+def series_table(spark, sf_dir):
+    """The weekly series, computed once from the facts and checkpointed:
+    fit, detect and the final join all read this small table."""
+    return materialize(market_series_df(spark, sf_dir))
+
+
+def long_series(spark, sf_dir, series=None):
+    s = series_table(spark, sf_dir) if series is None else series
+    return unpivot_metrics(s, KEYS, SERIES_METRICS)
 
 
 def params_df(spark, sf_dir):
@@ -28,8 +36,8 @@ def params_df(spark, sf_dir):
                                "met_metric_value")
 
 
-def detections_df(spark, sf_dir):
-    long = long_series(spark, sf_dir)
+def detections_df(spark, sf_dir, series=None):
+    long = long_series(spark, sf_dir, series)
     params = A.fit_series_models(long, IDS, "dim_collected_date", "met_metric_value")
     return A.detect_anomalies(long, params, IDS, "dim_collected_date", "met_metric_value", 0.95)
 
@@ -39,8 +47,8 @@ PIVOT_AGGS = {alias: src for alias, src in O.PIVOT_AGGS}
 
 def anomaly_wide_df(spark, sf_dir):
     """Series + detector output pivoted back to wide, left joined."""
-    series = market_series_df(spark, sf_dir)
-    det = detections_df(spark, sf_dir)
+    series = series_table(spark, sf_dir)
+    det = detections_df(spark, sf_dir, series)
     wide = pivot_wide(det, KEYS, "dim_metric_name", SERIES_METRICS, PIVOT_AGGS)
     renames = {src: dst for m in SERIES_METRICS for src, dst in O.wide_names(m).items()}
     wide = wide.select(*KEYS, *[F.col(s).alias(d) for s, d in renames.items()])
@@ -54,7 +62,7 @@ def _round_sql(cols: dict[str, int], others: list[str]) -> str:
 @register("unpivot_metrics", O.with_(*O.SERIES_CHAIN, O.SERIES_R, O.LONG, select="SELECT * FROM long"))
 def unpivot_metrics_q(spark, sf_dir):
     """Five metrics to (name, value) rows, NULL values left out."""
-    return long_series(spark, sf_dir)
+    return unpivot_metrics(market_series_df(spark, sf_dir), KEYS, SERIES_METRICS)
 
 
 @register("arima_fit", O.with_(*O.MODEL_CHAIN, select="""

@@ -56,3 +56,11 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path below the shared checkpoint folder."""
     base = ensure_checkpoint_dir(spark)
     return os.path.join(base, "lodestar", f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+def materialize(df):
+    """Cut lineage of a small, reused intermediate (e.g. the weekly series)
+    with a reliable checkpoint in the shared checkpoint folder, so later
+    stages read it back instead of recomputing it from the fact table."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
