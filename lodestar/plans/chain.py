@@ -49,3 +49,65 @@ def build_series(facts: DataFrame, *, segment_col: str = "is_target",
     return out.select(date_col, "is_target_segment", *SERIES_METRICS, *MA_WINDOWS,
                       *PRIOR.values(), "is_macd_cross_down", "is_macd_cross_up",
                       "is_yoy_cross_down", "is_yoy_cross_up")
+
+
+# ---- P7: the whole chain over stored tables --------------------------------
+
+def run_chain(spark, raw_dir: str, warehouse: str, as_of, *, target_zip: str,
+              centre_lon: float, centre_lat: float, target_radius_m: float = 3000.0,
+              comps_radius_m: float = 1000.0, segment_col: str = "is_target") -> dict:
+    """raw CSV snapshots -> base (incremental) -> fact (incremental, comps
+    against the whole base) -> series, anomalies and latest (rebuilt).
+
+    Each layer is a stored table under ``warehouse``; a rerun with no new
+    raw dates appends nothing and rebuilds the same results.  Returns
+    DataFrames over the stored tables."""
+    from ..functions.casts import parse_date
+    from ..operators import anomaly as A
+    from ..operators.cleanse import BASE_SPEC, typed_projection
+    from ..operators.features import add_target_flag
+    from ..operators.reshape import pivot_wide, unpivot_metrics
+    from ..operators.snapshot import latest_per_key
+    from ..operators.spatial import add_comps_ratio
+    from ..session import materialize
+    from ..sources.csvio import read_snapshots
+    from ..sources.tables import append_partitions, rebuild_table, table_exists
+    from ..streaming.incremental import after_mark
+
+    base_p, fact_p = f"{warehouse}/base", f"{warehouse}/fact"
+    day = "dim_collected_date"
+
+    raw = read_snapshots(spark, raw_dir)
+    base_t = spark.read.parquet(base_p) if table_exists(spark, base_p) else None
+    new_raw = after_mark(raw, parse_date("collected_date"), base_t, day)
+    append_partitions(typed_projection(new_raw, BASE_SPEC).where(F.col(day).isNotNull()), base_p, day)
+    base = spark.read.parquet(base_p)
+
+    fact_t = spark.read.parquet(fact_p) if table_exists(spark, fact_p) else None
+    new_base = after_mark(base, day, fact_t, day)
+    f = add_fact_metrics(add_target_flag(add_fact_flags(new_base, as_of), as_of, zip_value=target_zip,
+                                         centre_lon=centre_lon, centre_lat=centre_lat,
+                                         radius_m=target_radius_m), as_of)
+    f = add_comps_ratio(f, keys=[day, "met_bedrooms"], lon="info_longitude", lat="info_latitude",
+                        value="met_price", radius_m=comps_radius_m, reference=base)
+    append_partitions(f, fact_p, day)
+    fact = spark.read.parquet(fact_p)
+
+    series = materialize(build_series(fact, segment_col=segment_col))
+    series = rebuild_table(series, f"{warehouse}/series")
+    long = unpivot_metrics(series, SERIES_KEYS, SERIES_METRICS)
+    ids = ["is_target_segment", "dim_metric_name"]
+    params = A.fit_series_models(long, ids, day, "met_metric_value")
+    det = A.detect_anomalies(long, params, ids, day, "met_metric_value", 0.95)
+    aggs = {"is_anomaly": "is_anomaly", "lower_bound": "lower_bound",
+            "upper_bound": "upper_bound", "anomaly_prob": "anomaly_probability"}
+    wide = pivot_wide(det, SERIES_KEYS, "dim_metric_name", SERIES_METRICS, aggs)
+    ren = {}
+    for m in SERIES_METRICS:
+        x = m[len("met_"):]
+        ren.update({f"is_anomaly_{m}": f"is_{x}_anomaly", f"lower_bound_{m}": f"{m}_lower_bound",
+                    f"upper_bound_{m}": f"{m}_upper_bound", f"anomaly_prob_{m}": f"{m}_anomaly_probability"})
+    wide = wide.select(*SERIES_KEYS, *[F.col(a).alias(b) for a, b in ren.items()])
+    anomalies = rebuild_table(series.join(wide, SERIES_KEYS, "left"), f"{warehouse}/anomalies")
+    latest = rebuild_table(latest_per_key(fact, "id", [day, "mls_number"]), f"{warehouse}/latest")
+    return {"base": base, "fact": fact, "series": series, "anomalies": anomalies, "latest": latest}

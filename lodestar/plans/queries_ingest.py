@@ -291,3 +291,21 @@ def high_water_filter(spark, sf_dir):
     o = table(spark, sf_dir, "orders")
     target = o.where(F.col("o_orderdate") < F.lit(_SPLIT).cast("timestamp_ntz"))
     return after_mark(o, "o_orderdate", target, "o_orderdate", lazy=True)
+
+
+@register("chain_run")
+def chain_run(spark, sf_dir):
+    """The whole chain over stored tables, run after each of two raw
+    loads (raw -> base -> fact -> series -> anomalies, latest).  Returns the
+    anomalies table.  Rows-only check; the equality with a one-shot run is
+    a test."""
+    from .chain import run_chain
+    from .standins import TARGET_LAT, TARGET_LON, TARGET_ZIP
+    raw_dir, wh = scratch_path(spark, "raw"), scratch_path(spark, "wh")
+    raw = raw_listings(spark, sf_dir)
+    early = F.coalesce(parse_date_fn("collected_date") < F.lit(_SPLIT).cast("date"), F.lit(False))
+    csvio.write_snapshot(raw.where(early), f"{raw_dir}/load=1")
+    args = dict(target_zip=TARGET_ZIP, centre_lon=TARGET_LON, centre_lat=TARGET_LAT)
+    run_chain(spark, raw_dir, wh, AS_OF, **args)
+    csvio.write_snapshot(raw.where(~early).drop("hoa"), f"{raw_dir}/load=2")
+    return run_chain(spark, raw_dir, wh, AS_OF, **args)["anomalies"]
