@@ -1,0 +1,129 @@
+"""Level-2 series model (I1/I2 with seasonality and holidays).
+
+Per series id, in one ``applyInPandas`` group (a series is the aggregated
+weekly history, so its size is bounded by the number of weeks, not by the
+data volume):
+
+  y_t = b0 + b1 t + sum_k (a_k sin(2 pi k t / P) + c_k cos(2 pi k t / P))
+        + h * holiday_week_t + r_t,
+  r_t = phi_1 r_{t-1} + ... + phi_p r_{t-p} + e_t,
+
+with the regression fitted by least squares and the AR order p in
+0..max_p chosen by AIC on the regression residuals (terms are dropped
+when the series is too short for them).  In-sample one-step forecasts
+give the band f_t +- z_q s and the probability P(|N(0,1)| < |e_t| / s).
+The holiday regressor comes from ``calendar.holiday_weeks`` joined by week
+(a broadcast of about 11 rows per year).
+"""
+
+from __future__ import annotations
+
+import math
+from statistics import NormalDist
+
+import numpy as np
+import pandas as pd
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from .calendar import holiday_calendar
+
+PERIOD_WEEKS = 365.2425 / 7.0
+
+
+def _design(t: np.ndarray, hol: np.ndarray, harmonics: int, n: int) -> np.ndarray:
+    cols = [np.ones_like(t), t]
+    k_max = harmonics if n >= 2 * harmonics + 6 else 0
+    for k in range(1, k_max + 1):
+        w = 2.0 * math.pi * k * t / PERIOD_WEEKS
+        cols += [np.sin(w), np.cos(w)]
+    if hol.any() and not hol.all():
+        cols.append(hol)
+    return np.column_stack(cols)
+
+
+def _ar_fit(r: np.ndarray, p: int):
+    n = len(r)
+    if p == 0:
+        rss = float(np.sum(r ** 2))
+        return np.zeros(0), rss, n
+    X = np.column_stack([r[p - i - 1:n - i - 1] for i in range(p)])
+    yv = r[p:]
+    phi, *_ = np.linalg.lstsq(X, yv, rcond=None)
+    rss = float(np.sum((yv - X @ phi) ** 2))
+    return phi, rss, n - p
+
+
+def _score_series(pdf: pd.DataFrame, ts: str, value: str, harmonics: int, max_p: int,
+                  zq: float) -> pd.DataFrame:
+    pdf = pdf.sort_values(ts).reset_index(drop=True)
+    y = pdf[value].to_numpy(dtype=float)
+    n = len(y)
+    out = pdf.copy()
+    out["is_anomaly"] = False
+    for c in ("lower_bound", "upper_bound", "anomaly_probability"):
+        out[c] = np.nan
+    out["ar_order"] = 0
+    if n < 3:
+        return out
+    days = (pd.to_datetime(pdf[ts]) - pd.to_datetime(pdf[ts]).iloc[0]).dt.days.to_numpy(dtype=float)
+    t = days / 7.0
+    X = _design(t, pdf["__hol"].to_numpy(dtype=float), harmonics, n)
+    if X.shape[1] >= n:
+        X = X[:, :1]
+    beta, *_ = np.linalg.lstsq(X, y, rcond=None)
+    fit = X @ beta
+    r = y - fit
+    best = None
+    for p in range(0, max_p + 1):
+        if n - p < X.shape[1] + p + 2:
+            break
+        phi, rss, m = _ar_fit(r, p)
+        aic = m * math.log(max(rss / m, 1e-12)) + 2 * (X.shape[1] + p)
+        if best is None or aic < best[0]:
+            best = (aic, p, phi, rss, m)
+    _, p, phi, rss, m = best
+    s = math.sqrt(rss / m)
+    f = fit.copy()
+    for i in range(p):
+        f[p:] += phi[i] * r[p - i - 1:n - i - 1]
+    f[:p] = np.nan
+    e = y - f
+    lower, upper = f - zq * s, f + zq * s
+    out["lower_bound"], out["upper_bound"] = lower, upper
+    out["is_anomaly"] = np.where(np.isnan(f), False, np.abs(e) > zq * s)
+    if s > 0:
+        out["anomaly_probability"] = np.where(
+            np.isnan(f), np.nan, [math.erf(abs(v) / (s * math.sqrt(2.0))) if not np.isnan(v) else np.nan
+                                  for v in e])
+    out["ar_order"] = p
+    return out
+
+
+def detect_seasonal(long: DataFrame, ids: list[str], ts: str, value: str, *,
+                    threshold: float = 0.95, harmonics: int = 2, max_p: int = 3,
+                    holidays: bool = True) -> DataFrame:
+    """Score every point of every series with the level-2 model."""
+    zq = NormalDist().inv_cdf((1.0 + threshold) / 2.0)
+    x = long.select(*ids, ts, F.col(value).cast("double").alias(value))
+    if holidays:
+        cal = holiday_calendar(x, ts).select(F.col("week_start").alias("__w")).distinct()
+        wk = F.date_trunc("week", F.col(ts)).cast("date")
+        x = x.join(F.broadcast(cal), wk == F.col("__w"), "left").select(
+            *ids, ts, value, F.col("__w").isNotNull().cast("double").alias("__hol"))
+    else:
+        x = x.withColumn("__hol", F.lit(0.0))
+    fields = [f for f in x.schema.fields if f.name != "__hol"]
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields) + (
+        ", is_anomaly boolean, lower_bound double, upper_bound double, "
+        "anomaly_probability double, ar_order int")
+
+    def fn(pdf: pd.DataFrame) -> pd.DataFrame:
+        out = _score_series(pdf, ts, value, harmonics, max_p, zq)
+        out["ar_order"] = out["ar_order"].astype("int32")
+        for c in ("lower_bound", "upper_bound", "anomaly_probability"):
+            out[c] = pd.array(out[c].to_numpy(dtype=float), dtype="Float64")
+            out.loc[np.isnan(out[c].to_numpy(dtype=float, na_value=np.nan)), c] = pd.NA
+        return out.drop(columns=["__hol"])
+
+    return x.groupBy(*ids).applyInPandas(fn, schema)

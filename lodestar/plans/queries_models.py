@@ -236,3 +236,11 @@ def holiday_weeks(spark, sf_dir):
     """I4: US holiday weeks, computed by rule for the years in the data."""
     o = table(spark, sf_dir, "orders")
     return C.holiday_weeks(o, "o_orderdate").withColumnRenamed("o_orderdate", "dim_collected_date")
+
+
+@register("anomaly_detect_seasonal")
+def anomaly_detect_seasonal(spark, sf_dir):
+    """I1/I2 level 2: trend + annual harmonics + US-holiday regression with
+    an AR order search per series (applyInPandas); rows-only check."""
+    from ..operators.seasonal import detect_seasonal
+    return detect_seasonal(long_series(spark, sf_dir), IDS, "dim_collected_date", "met_metric_value")

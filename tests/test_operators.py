@@ -227,3 +227,18 @@ def test_series_metamorphic_partitions(spark):
     a = S.segment_series(df, "d", "seg", aggs).collect()
     b = S.segment_series(df.repartition(7).orderBy(F.rand(3)), "d", "seg", aggs).collect()
     assert sorted(map(tuple, a)) == sorted(map(tuple, b))
+
+
+def test_seasonal_model_properties(spark):
+    from lodestar.operators.seasonal import detect_seasonal
+    long = _long_series(spark)
+    rows = detect_seasonal(long, ["sid"], "d", "v").collect()
+    assert len(rows) == long.count()
+    for r in rows:
+        if r.lower_bound is None:
+            assert r.is_anomaly is False and r.anomaly_probability is None
+            continue
+        assert r.lower_bound <= r.upper_bound
+        assert r.is_anomaly == (r.v < r.lower_bound or r.v > r.upper_bound)
+    spike = [r for r in rows if r.sid == "c" and r.d == dt.date(2023, 1, 1) + dt.timedelta(days=7 * 60)]
+    assert spike[0].is_anomaly
