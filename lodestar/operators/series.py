@@ -67,14 +67,14 @@ def moving_averages(df: DataFrame, value: str, partition: str, order: str,
 
 def yoy_join(df: DataFrame, partition: str, date_col: str, columns: dict[str, str],
              shift_days: int = 364) -> DataFrame:
-    """Left self-join to the row exactly ``shift_days`` earlier in the same
-    partition; no match gives NULL prior values."""
-    prior = df.select(
-        F.col(partition),
-        F.date_add(F.col(date_col), shift_days).alias(date_col),
-        *[F.col(src).alias(dst) for src, dst in columns.items()],
-    )
-    return df.join(prior, [partition, date_col], "left")
+    """Values of the row exactly ``shift_days`` earlier in the same
+    partition (NULL when there is none): the left self-join on
+    ``date - shift_days``, written as a RANGE frame [-shift, -shift] over
+    the day number.  It reuses the partitioning of the other series
+    windows, so there is no join and no second pass over the input."""
+    day = F.unix_date(F.col(date_col).cast("date"))
+    w = Window.partitionBy(partition).orderBy(day).rangeBetween(-shift_days, -shift_days)
+    return df.withColumns({dst: F.first(F.col(src)).over(w) for src, dst in columns.items()})
 
 
 def crossover(df: DataFrame, fast: str, slow: str, partition: str, order: str,
