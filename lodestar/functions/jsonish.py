@@ -57,12 +57,32 @@ def pydict_to_json(c, mode: str = "compat") -> Column:
 def json_scalar(c, path: str, *, repair: str | None = "compat") -> Column:
     """``json_extract_scalar``: the scalar at ``path`` as text; objects and
     arrays give NULL.  Python-repr input is repaired first (a bare ``None``
-    anywhere would otherwise void every key)."""
+    anywhere would otherwise void every key).
+
+    The text is parsed once into a VARIANT (shared by every field read from
+    the same column through common-subexpression elimination); a failed
+    parse is NULL, not an exception per row."""
+    x = as_col(c)
+    if repair == "compat":
+        x = compat_text(x)
+    elif repair == "strict":
+        x = strict_text(x)
+    return variant_scalar(F.try_parse_json(x), path)
+
+
+def repaired_variant(c, repair: str | None = "compat") -> Column:
+    """Parse (repaired) text once into a VARIANT; NULL when invalid."""
     x = as_col(c)
     if repair == "compat":
         x = compat_text(x)
     elif repair == "strict":
         x = strict_text(x)
-    v = F.get_json_object(x, path)
-    nested = F.try_parse_json(v).isNotNull() & F.substring(F.ltrim(v), 1, 1).isin("{", "[")
-    return F.when(~F.coalesce(nested, F.lit(False)), v)
+    return F.try_parse_json(x)
+
+
+def variant_scalar(v, path: str) -> Column:
+    """Scalar at ``path`` of a VARIANT as text; objects/arrays give NULL."""
+    v = as_col(v)
+    nested = (F.try_variant_get(v, path, "map<string,variant>").isNotNull()
+              | F.try_variant_get(v, path, "array<variant>").isNotNull())
+    return F.when(~nested, F.try_variant_get(v, path, "string"))

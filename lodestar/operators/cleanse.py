@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions.casts import parse_date, safe_cast
 from ..functions.geo import geo_point
-from ..functions.jsonish import json_scalar, pydict_to_json
+from ..functions.jsonish import pydict_to_json, repaired_variant, variant_scalar
 
 
 @dataclass(frozen=True)
@@ -36,7 +36,7 @@ def field_expr(f: Field, json_repair: str = "compat") -> Column:
         return pydict_to_json(safe_cast(src, "string"), json_repair)
     if how.startswith("json:"):
         parts = how.split(":")
-        v = json_scalar(safe_cast(src, "string"), parts[1], repair=json_repair)
+        v = variant_scalar(F.col(_vcol(f.source)), parts[1])
         if len(parts) > 2 and parts[2] == "lower":
             v = F.lower(v)
         return safe_cast(v, f.type)
@@ -47,13 +47,23 @@ def field_expr(f: Field, json_repair: str = "compat") -> Column:
     return safe_cast(src, f.type)
 
 
+def _vcol(source: str) -> str:
+    return f"__variant_{source.lower()}"
+
+
 def typed_projection(df: DataFrame, spec: list[Field], json_repair: str = "compat") -> DataFrame:
-    """Project raw columns (matched case-insensitively) to the typed spec."""
+    """Project raw columns (matched case-insensitively) to the typed spec.
+    Each nested source column is repaired and parsed once; every path
+    reads that parsed value."""
     lower = {c.lower(): c for c in df.columns}
     missing = {s for f in spec for s in (f.source if isinstance(f.source, tuple) else (f.source,))
                if s.lower() not in lower}
     if missing:
         df = df.withColumns({m: F.lit(None).cast("string") for m in sorted(missing)})
+    nested = sorted({f.source for f in spec if (f.how or "").startswith("json:")})
+    if nested:
+        df = df.withColumns({_vcol(s): repaired_variant(safe_cast(s, "string"), json_repair)
+                             for s in nested})
     return df.select(*[field_expr(f, json_repair).alias(f.target) for f in spec])
 
 

@@ -27,13 +27,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _join_customers(o: DataFrame, c: DataFrame) -> DataFrame:
+    """orders x customer.  The customer table grows with the data, so it is
+    not broadcast: a shuffled hash join keyed on the customer, which also
+    spreads the per-row work after the join over the shuffle partitions."""
+    return o.join(c.hint("shuffle_hash"), o.o_custkey == c.c_custkey, "inner")
+
+
 def listings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Listing-shaped rows, base-layer column names."""
     o = table(spark, sf_dir, "orders")
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_name")
     k = F.col("o_orderkey")
     od = F.col("o_orderdate").cast("date")
-    return o.join(c, o.o_custkey == c.c_custkey, "inner").select(
+    return _join_customers(o, c).select(
         F.col("o_custkey").cast("string").alias("id"),
         k.alias("listing_key"),
         F.date_trunc("week", F.col("o_orderdate")).cast("date").alias("dim_collected_date"),
@@ -93,7 +100,7 @@ def raw_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
     created = _s(day)
     price_int = _s(F.round(F.col("o_totalprice")).cast("long"))
     week = F.date_trunc("week", F.col("o_orderdate")).cast("date")
-    return o.join(c, o.o_custkey == c.c_custkey, "inner").select(
+    return _join_customers(o, c).select(
         _s(F.col("o_custkey")).alias("id"),
         F.concat(F.lit("MLS"), _s(k)).alias("mlsnumber"),
         F.when(k % 101 == 0, F.lit("2024-06")).otherwise(F.date_format(week, "yyyyMMdd")).alias("collected_date"),

@@ -31,6 +31,13 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", driver_memory)
         .config("spark.sql.sources.partitionOverwriteMode", "dynamic")
+        # Wide projections (41-column typed base) generate methods above the
+        # JVM's 8 KB JIT limit; fall back to per-operator codegen instead of
+        # running them interpreted.
+        .config("spark.sql.codegen.hugeMethodLimit", "8000")
+        # Small local inputs: keep post-shuffle parallelism near the core
+        # count (clusters tune advisoryPartitionSizeInBytes instead).
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "128k")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
