@@ -28,9 +28,12 @@ LOG_FLOOR = 1e-12
 
 
 def _lagged(long: DataFrame, ids: list[str], ts: str, value: str) -> DataFrame:
+    """Lag 1 per series.  The input is hash-partitioned by the series id
+    once; every later window, aggregate and join on the id reuses that
+    partitioning instead of shuffling again."""
     w = Window.partitionBy(*ids).orderBy(ts)
     y1 = F.lag(value, 1).over(w)
-    return long.select(*ids, ts, value, y1.alias("__y1")).withColumn(
+    return long.repartition(*ids).select(*ids, ts, value, y1.alias("__y1")).withColumn(
         "__dy", F.col(value) - F.col("__y1"))
 
 

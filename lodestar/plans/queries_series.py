@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 from pyspark.sql import functions as F
 
 from ..operators import series as S
@@ -15,6 +17,7 @@ SQFT_ROUND = {"met_price_per_sqft_avg": 6}
 SQFT_ROUND_SQL = "round(met_price_per_sqft_avg, 6) AS met_price_per_sqft_avg"
 
 
+@lru_cache(maxsize=64)
 def fact_rows(spark, sf_dir):
     """Stand-in listings with flags and ratios (no comps)."""
     f = add_fact_flags(listings(spark, sf_dir), AS_OF)

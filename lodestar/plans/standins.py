@@ -8,6 +8,8 @@ source row, written so that the DuckDB oracle text computes the same bits.
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,7 +25,10 @@ COMPS_RADIUS_M = 1000.0
 URGENT = "1-URGENT"
 
 
+@lru_cache(maxsize=256)
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A given test table.  The tables are read-only, so the DataFrame (its
+    file listing and footer-derived schema) is built once per session."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -34,6 +39,7 @@ def _join_customers(o: DataFrame, c: DataFrame) -> DataFrame:
     return o.join(c.hint("shuffle_hash"), o.o_custkey == c.c_custkey, "inner")
 
 
+@lru_cache(maxsize=64)
 def listings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Listing-shaped rows, base-layer column names."""
     o = table(spark, sf_dir, "orders")
@@ -90,6 +96,7 @@ def _s(c):
     return c.cast("string")
 
 
+@lru_cache(maxsize=64)
 def raw_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw feed records as text (33 columns, lower-case names), with junk
     values and Python-repr nested fields whose keys are in sorted order."""
