@@ -293,7 +293,20 @@ def high_water_filter(spark, sf_dir):
     return after_mark(o, "o_orderdate", target, "o_orderdate", lazy=True)
 
 
-@register("chain_run")
+def _chain_sql() -> str:
+    from .queries_models import _WIDE_COLS, _WIDE_ROUND, _round_sql
+    base = (f"listings AS (SELECT * FROM (SELECT\n    {_BASE_SQL}\n  FROM raw) "
+            "WHERE dim_collected_date IS NOT NULL)")
+    long_ = O.LONG.replace("FROM series_r)", "FROM series)")
+    wide = O.WIDE.replace("FROM series_r s", "FROM series s")
+    rnd = dict(_WIDE_ROUND, met_price_per_sqft_avg=6)
+    cols = [c for c in _WIDE_COLS if c != "met_price_per_sqft_avg"]
+    return O.with_(RAW, base, O.FLAGS, O.TARGET, O.FACTS, O.ts_cte("is_target"), O.MA, O.YOY,
+                   O.SERIES, long_, *O.FIT, *O.DETECT, O.PIVOT, wide,
+                   select="SELECT " + _round_sql(rnd, cols) + " FROM wide")
+
+
+@register("chain_run", _chain_sql())
 def chain_run(spark, sf_dir):
     """The whole chain over stored tables, run after each of two raw
     loads (raw -> base -> fact -> series -> anomalies, latest).  Returns the
@@ -308,4 +321,7 @@ def chain_run(spark, sf_dir):
     args = dict(target_zip=TARGET_ZIP, centre_lon=TARGET_LON, centre_lat=TARGET_LAT)
     run_chain(spark, raw_dir, wh, AS_OF, **args)
     csvio.write_snapshot(raw.where(~early).drop("hoa"), f"{raw_dir}/load=2")
-    return run_chain(spark, raw_dir, wh, AS_OF, **args)["anomalies"]
+    from .queries_models import _WIDE_ROUND
+    out = run_chain(spark, raw_dir, wh, AS_OF, **args)["anomalies"]
+    rnd = dict(_WIDE_ROUND, met_price_per_sqft_avg=6)
+    return out.withColumns({c: F.round(c, n) for c, n in rnd.items()})
