@@ -325,3 +325,23 @@ def chain_run(spark, sf_dir):
     out = run_chain(spark, raw_dir, wh, AS_OF, **args)["anomalies"]
     rnd = dict(_WIDE_ROUND, met_price_per_sqft_avg=6)
     return out.withColumns({c: F.round(c, n) for c, n in rnd.items()})
+
+
+@register("incremental_stream", """
+  SELECT o_orderkey, o_custkey, o_totalprice, CAST(date_trunc('week', o_orderdate) AS DATE) AS dim_collected_date
+  FROM orders""")
+def incremental_stream(spark, sf_dir):
+    """A14 in Structured Streaming form: the orders file as a file stream,
+    each micro-batch appended by the same high-water-mark function
+    (foreachBatch, availableNow), with its checkpoint in the shared folder."""
+    from ..streaming.incremental import stream_incremental
+    schema = table(spark, sf_dir, "orders").schema
+    path, chk = scratch_path(spark, "stream_target"), scratch_path(spark, "stream_chk")
+
+    def shape(s):
+        return s.select("o_orderkey", "o_custkey", "o_totalprice",
+                        F.date_trunc("week", "o_orderdate").cast("date").alias("dim_collected_date"))
+
+    stream_incremental(spark, sf_dir, schema, path, "dim_collected_date", chk,
+                       glob="orders.parquet", transform=shape)
+    return spark.read.parquet(path)
