@@ -34,9 +34,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def _join_customers(o: DataFrame, c: DataFrame) -> DataFrame:
     """orders x customer.  The customer table grows with the data, so it is
-    not broadcast: a shuffled hash join keyed on the customer, which also
-    spreads the per-row work after the join over the shuffle partitions."""
-    return o.join(c.hint("shuffle_hash"), o.o_custkey == c.c_custkey, "inner")
+    not broadcast: a sort-merge join keyed on the customer (spills instead
+    of holding a hash table per partition), which also spreads the per-row
+    work after the join over the shuffle partitions."""
+    return o.join(c.hint("merge"), o.o_custkey == c.c_custkey, "inner")
 
 
 @lru_cache(maxsize=64)
