@@ -4,10 +4,12 @@
 ``compat`` repeats the reference repair exactly: the blind replaces
 ``'`` -> ``"`` and ``None`` -> ``null``, then a safe parse; apostrophes in
 values or ``True``/``False`` make it NULL, as there.
-``strict`` parses the Python literal exactly: rows whose text holds no
-double quote, backslash or ``None``/``True``/``False`` word are handled by
-the same replaces on the JVM; only the remaining rows go through an
-Arrow-batched pandas UDF with ``ast.literal_eval``.
+``strict`` parses the Python literal exactly.  When a text holds no double
+quote, backslash or parenthesis, every string is delimited by single
+quotes, so a ``None``/``True``/``False`` token lies outside all strings
+exactly when an even number of quotes follows it: those rows are rewritten
+on the JVM (one regex lookahead, then the quote swap).  Only the remaining
+rows go through an Arrow-batched pandas UDF with ``ast.literal_eval``.
 """
 
 from __future__ import annotations
@@ -40,12 +42,20 @@ def _literal_to_json(s: pd.Series) -> pd.Series:
     return s.map(conv)
 
 
+_OUTSIDE_QUOTES = r"(?=(?:[^']*'[^']*')*[^']*$)"
+_TOKENS = (("None", "null"), ("True", "true"), ("False", "false"))
+
+
 def strict_text(c) -> Column:
     """Exact JSON text for a Python literal (NULL if it is not one)."""
     x = as_col(c)
-    simple = ~x.rlike(r"[\"\\]|\b(None|True|False|nan|inf)\b")
-    return F.when(x.isNull(), F.lit(None).cast("string")).when(
-        simple, F.replace(x, F.lit("'"), F.lit('"'))).otherwise(_literal_to_json(x))
+    simple = ~x.rlike(r"[\"\\()]|\b(nan|inf)\b")
+    fast = x
+    for word, js in _TOKENS:
+        fast = F.regexp_replace(fast, r"\b" + word + r"\b" + _OUTSIDE_QUOTES, js)
+    fast = F.replace(fast, F.lit("'"), F.lit('"'))
+    return F.when(x.isNull(), F.lit(None).cast("string")).when(simple, fast).otherwise(
+        _literal_to_json(x))
 
 
 def pydict_to_json(c, mode: str = "compat") -> Column:

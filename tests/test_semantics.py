@@ -126,3 +126,18 @@ def test_geo_point_validity(spark):
     df = spark.createDataFrame([(10.0, 20.0), (200.0, 20.0), (10.0, -91.0), (None, 1.0)], "lon double, lat double")
     pts = [r.p for r in df.select(G.geo_point("lon", "lat").alias("p")).collect()]
     assert pts[0].lon == 10.0 and pts[0].lat == 20.0 and pts[1:] == [None, None, None]
+
+
+def test_pydict_strict_equals_literal_eval(spark):
+    import ast
+    import json
+    samples = [{"a": "x, None}", "b": None}, {"name": "True story", "ok": True, "bad": False},
+               {"n": [1, None, {"k": "None"}]}, {"q": "it's", "r": None}, {"s": 'say "hi"'},
+               {"t": (1, 2)}, {"u": 1.5e-05, "v": -3}, {"w": "a\\nb"}, [None, True, "False"],
+               {"x": "'quoted' None"}, {}]
+    texts = [str(v) for v in samples]
+    df = spark.createDataFrame([(t,) for t in texts], "s string")
+    got = [r.j for r in df.select(F.to_json(pydict_to_json("s", "strict")).alias("j")).collect()]
+    for t, j in zip(texts, got):
+        want = json.loads(json.dumps(ast.literal_eval(t)))
+        assert j is not None and json.loads(j) == want, (t, j)
