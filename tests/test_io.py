@@ -79,3 +79,19 @@ def test_streaming_form_matches_batch(spark, scratch):
     stream_incremental(spark, src_dir + "/*", src.schema, path, "d", chk)
     got = sorted(tuple(r) for r in spark.read.parquet(path).select("k", "d", "v").collect())
     assert got == sorted(tuple(r) for r in src.collect())
+
+
+def test_paged_source_key_filter_pushdown(spark):
+    data = {"k1": [{"id": i, "key": "k1"} for i in range(4)], "k2": [{"id": 9, "key": "k2"}]}
+
+    def fetch(key, offset, limit):
+        return data[key][offset:offset + limit]
+
+    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
+    try:
+        df = paged_source(spark, fetch, ["k1", "k2"], "id long, key string", key_column="key",
+                          limit=2, name="paged_push").where(F.col("key") == "k1")
+        assert sorted(r.id for r in df.collect()) == [0, 1, 2, 3]
+        assert df.rdd.getNumPartitions() == 1          # the k2 partition was dropped at planning
+    finally:
+        spark.conf.set("spark.sql.python.filterPushdown.enabled", "false")
