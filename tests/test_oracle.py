@@ -16,9 +16,9 @@ from conftest import SF_SMALL
 
 TABLES = ("region nation customer supplier part orders lineitem events documents "
           "embeddings pages benchmark labels conversations").split()
-SAMPLE = ["market_series", "fact_table", "spatial_comps_grid", "latest_snapshot", "typed_base",
+SAMPLE = ["market_series", "fact_table", "spatial_comps_grid", "latest_snapshot", "typed_base", "chain_run",
           "pydict_to_json", "anomaly_wide", "holiday_weeks", "csv_roundtrip", "paged_source",
-          "incremental_append", "kpi_summary", "inventory_by_ratio", "schema_union"]
+          "incremental_append", "incremental_stream", "kpi_summary", "inventory_by_ratio", "schema_union"]
 KEYS = sorted(E.oracle_sql()) if os.environ.get("LODESTAR_ALL_ORACLES") else SAMPLE
 
 
