@@ -45,9 +45,14 @@ def _header_lines(it):
         out = []
         for p in pdf["path"]:
             fs, rel = pafs.FileSystem.from_uri(p)
+            buf = b""
             with fs.open_input_stream(rel) as f:
-                head = f.read(1 << 16)
-            first = head.split(b"\n", 1)[0].rstrip(b"\r").decode("utf-8", "replace")
+                while b"\n" not in buf:          # the whole first line, however long
+                    chunk = f.read(1 << 16)
+                    if not chunk:
+                        break
+                    buf += chunk
+            first = buf.split(b"\n", 1)[0].rstrip(b"\r").decode("utf-8", "replace")
             out.append(first)
         yield pd.DataFrame({"path": pdf["path"], "header": out})
 
