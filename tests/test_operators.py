@@ -242,3 +242,18 @@ def test_seasonal_model_properties(spark):
         assert r.is_anomaly == (r.v < r.lower_bound or r.v > r.upper_bound)
     spike = [r for r in rows if r.sid == "c" and r.d == dt.date(2023, 1, 1) + dt.timedelta(days=7 * 60)]
     assert spike[0].is_anomaly
+
+
+import pytest  # noqa: E402
+
+
+@pytest.mark.parametrize("radius", [250.0, 2500.0])
+def test_grid_comps_other_radii(spark, radius):
+    rows = _comps_fixture(seed=int(radius))
+    df = spark.createDataFrame(rows, "k long, d date, beds double, lon double, lat double, price long")
+    st = neighbour_stats(df, keys=["d", "beds"], lon="lon", lat="lat", value="price", radius_m=radius)
+    got = {(r.d, r.beds, r.lon, r.lat): r.comps_count for r in st.collect()}
+    want = _brute(rows, radius)
+    for k, d, b, lon, lat, _ in rows:
+        if b is not None and lat is not None:
+            assert got[(d, b, lon, lat)] == want[k][0]
