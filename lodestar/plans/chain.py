@@ -36,11 +36,20 @@ def with_moving_averages(ts: DataFrame, date_col: str = "dim_collected_date") ->
 
 def build_series(facts: DataFrame, *, segment_col: str = "is_target",
                  date_col: str = "dim_collected_date",
-                 accuracy: int = S.DEFAULT_ACCURACY) -> DataFrame:
+                 accuracy: int = S.DEFAULT_ACCURACY, fill_gaps: bool = False) -> DataFrame:
     """fact -> weekly series: grouping sets, medians, 3 moving averages,
-    52-week prior join, 4 crossover signals (17 columns)."""
-    ma = with_moving_averages(series_base(facts, segment_col=segment_col,
-                                          date_col=date_col, accuracy=accuracy), date_col)
+    52-week prior join, 4 crossover signals (17 columns).
+
+    Moving averages count rows, as in the reference, so a missed weekly run
+    widens the span.  ``fill_gaps=True`` first inserts the missing weeks of
+    each segment (metrics NULL, count 0), so the frames count calendar
+    weeks instead."""
+    ts = series_base(facts, segment_col=segment_col, date_col=date_col, accuracy=accuracy)
+    if fill_gaps:
+        from ..operators.calendar import regularise_series
+        ts = regularise_series(ts, ["is_target_segment"], date_col, SERIES_METRICS,
+                               fill={"met_listings_count": 0}).drop("is_filled")
+    ma = with_moving_averages(ts, date_col)
     yoy = S.yoy_join(ma, "is_target_segment", date_col, PRIOR)
     out = S.crossover(yoy, "met_12_week_ma", "met_52_week_ma", "is_target_segment", date_col,
                       down="is_macd_cross_down", up="is_macd_cross_up")

@@ -257,3 +257,22 @@ def test_grid_comps_other_radii(spark, radius):
     for k, d, b, lon, lat, _ in rows:
         if b is not None and lat is not None:
             assert got[(d, b, lon, lat)] == want[k][0]
+
+
+def test_build_series_fill_gaps_counts_weeks(spark):
+    from lodestar.plans.chain import build_series
+    rows = []
+    start = dt.date(2024, 1, 7)
+    for i in (0, 1, 2, 4, 5):                      # week 3 missing
+        for j in range(3):
+            rows.append((f"id{j}", start + dt.timedelta(days=7 * i), True, True, 100 * (i + 1), 2.0))
+    facts = spark.createDataFrame(rows, "id string, dim_collected_date date, is_active boolean, "
+                                        "is_target boolean, met_price long, met_price_per_sqft double")
+    plain = {r.dim_collected_date: r for r in build_series(facts).where("is_target_segment = 'all'").collect()}
+    filled = {r.dim_collected_date: r for r in build_series(facts, fill_gaps=True)
+              .where("is_target_segment = 'all'").collect()}
+    w5 = start + dt.timedelta(days=35)
+    assert plain[w5].met_04_week_ma == (200 + 300 + 500 + 600) / 4      # 4 rows back
+    assert filled[w5].met_04_week_ma == (300 + 500 + 600) / 3           # 4 calendar weeks back
+    gap = filled[start + dt.timedelta(days=21)]
+    assert gap.met_listings_count == 0 and gap.met_price_median is None
