@@ -26,3 +26,12 @@ def erf_nonneg(x) -> Column:
 def two_sided_probability(z) -> Column:
     """P(|N(0,1)| < |z|) = 2 Phi(|z|) - 1 = erf(|z| / sqrt 2)."""
     return erf_nonneg(F.abs(as_col(z)) / F.lit(2.0 ** 0.5))
+
+
+def two_sided_probability_sql(z: str) -> str:
+    """SQL text of ``two_sided_probability`` for an expression ``z``."""
+    x = f"(abs({z}) / {2.0 ** 0.5!r}D)"
+    t = f"(1.0D / (1.0D + {AS_P!r}D * {x}))"
+    a1, a2, a3, a4, a5 = (f"{a!r}D" for a in AS_A)
+    poly = f"{t} * ({a1} + {t} * ({a2} + {t} * ({a3} + {t} * ({a4} + {t} * {a5}))))"
+    return f"(1.0D - {poly} * exp(-({x} * {x})))"

@@ -19,56 +19,58 @@ from __future__ import annotations
 
 from statistics import NormalDist
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.stats import two_sided_probability
+from ..functions.stats import two_sided_probability_sql
 
 LOG_FLOOR = 1e-12
 
 
+def _q(c: str) -> str:
+    return "`" + c.replace("`", "``") + "`"
+
+
 def _lagged(long: DataFrame, ids: list[str], ts: str, value: str) -> DataFrame:
     """Lag 1 per series.  The input is hash-partitioned by the series id
     once; every later window, aggregate and join on the id reuses that
-    partitioning instead of shuffling again."""
-    w = Window.partitionBy(*ids).orderBy(ts)
-    y1 = F.lag(value, 1).over(w)
-    return long.repartition(*ids).select(*ids, ts, value, y1.alias("__y1")).withColumn(
-        "__dy", F.col(value) - F.col("__y1"))
+    partitioning instead of shuffling again.  Fixed arithmetic below is
+    written as SQL expressions (one driver call each)."""
+    qi, T, V = ", ".join(_q(i) for i in ids), _q(ts), _q(value)
+    return long.repartition(*ids).selectExpr(
+        *[_q(i) for i in ids], T, V,
+        f"lag({V}, 1) OVER (PARTITION BY {qi} ORDER BY {T}) AS __y1").selectExpr(
+        "*", f"{V} - __y1 AS __dy")
 
 
 def fit_series_models(long: DataFrame, ids: list[str], ts: str, value: str) -> DataFrame:
     """One row of parameters per series id: d, p, n, intercept, phi, sigma,
     aic_ar0, aic_ar1."""
+    qi, T, V = ", ".join(_q(i) for i in ids), _q(ts), _q(value)
     x = _lagged(long, ids, ts, value)
-    diff = x.groupBy(*ids).agg(
-        F.when(F.var_samp("__dy") < F.var_samp(value), F.lit(1)).otherwise(F.lit(0)).alias("__d"))
-    w = Window.partitionBy(*ids).orderBy(ts)
-    z = x.join(diff, ids).withColumn(
-        "__z", F.when(F.col("__d") == 1, F.col("__dy")).otherwise(F.col(value)))
-    z = z.withColumn("__z1", F.lag("__z", 1).over(w))
-    st = z.groupBy(*ids).agg(
-        F.first("__d").alias("__d"),
-        F.avg("__z").alias("__mu"), F.count("__z").alias("__n0"),
-        F.regr_intercept("__z", "__z1").alias("__a"), F.regr_slope("__z", "__z1").alias("__b"),
-        F.regr_count("__z", "__z1").alias("__n1"))
-    r = z.drop("__d").join(st, ids).groupBy(*ids).agg(
-        F.first("__d").alias("__d"), F.first("__mu").alias("__mu"), F.first("__n0").alias("__n0"),
-        F.first("__a").alias("__a"), F.first("__b").alias("__b"), F.first("__n1").alias("__n1"),
-        F.sum(F.pow(F.col("__z") - F.col("__mu"), 2)).alias("__rss0"),
-        F.sum(F.pow(F.col("__z") - (F.col("__a") + F.col("__b") * F.col("__z1")), 2)).alias("__rss1"))
-    aic0 = F.col("__n0") * F.ln(F.greatest(F.col("__rss0") / F.col("__n0"), F.lit(LOG_FLOOR))) + 2
-    aic1 = F.when((F.col("__n1") >= 3) & F.col("__b").isNotNull(),
-                  F.col("__n1") * F.ln(F.greatest(F.col("__rss1") / F.col("__n1"), F.lit(LOG_FLOOR))) + 4)
-    r = r.withColumns({"aic_ar0": aic0, "aic_ar1": aic1})
-    p1 = F.coalesce(F.col("aic_ar1") < F.col("aic_ar0"), F.lit(False))
-    return r.select(
-        *ids, F.col("__d").alias("d"), F.when(p1, F.lit(1)).otherwise(F.lit(0)).alias("p"),
-        F.col("__n0").alias("n"),
-        F.when(p1, F.col("__a")).otherwise(F.col("__mu")).alias("intercept"),
-        F.when(p1, F.col("__b")).otherwise(F.lit(0.0)).alias("phi"),
-        F.sqrt(F.when(p1, F.col("__rss1") / F.col("__n1"))
-               .otherwise(F.col("__rss0") / F.col("__n0"))).alias("sigma"),
+    diff = x.groupBy(*ids).agg(F.expr(
+        f"CASE WHEN var_samp(__dy) < var_samp({V}) THEN 1 ELSE 0 END AS __d"))
+    z = x.join(diff, ids).selectExpr("*", f"CASE WHEN __d = 1 THEN __dy ELSE {V} END AS __z")
+    z = z.selectExpr("*", f"lag(__z, 1) OVER (PARTITION BY {qi} ORDER BY {T}) AS __z1")
+    st = z.groupBy(*ids).agg(*[F.expr(e) for e in (
+        "first(__d) AS __d", "avg(__z) AS __mu", "count(__z) AS __n0",
+        "regr_intercept(__z, __z1) AS __a", "regr_slope(__z, __z1) AS __b",
+        "regr_count(__z, __z1) AS __n1")])
+    r = z.drop("__d").join(st, ids).groupBy(*ids).agg(*[F.expr(e) for e in (
+        "first(__d) AS __d", "first(__mu) AS __mu", "first(__n0) AS __n0", "first(__a) AS __a",
+        "first(__b) AS __b", "first(__n1) AS __n1", "sum(pow(__z - __mu, 2)) AS __rss0",
+        "sum(pow(__z - (__a + __b * __z1), 2)) AS __rss1")])
+    floor = f"{LOG_FLOOR!r}D"
+    r = r.selectExpr(
+        "*", f"__n0 * ln(greatest(__rss0 / __n0, {floor})) + 2 AS aic_ar0",
+        f"CASE WHEN __n1 >= 3 AND __b IS NOT NULL "
+        f"THEN __n1 * ln(greatest(__rss1 / __n1, {floor})) + 4 END AS aic_ar1")
+    p1 = "coalesce(aic_ar1 < aic_ar0, false)"
+    return r.selectExpr(
+        *[_q(i) for i in ids], "__d AS d", f"CASE WHEN {p1} THEN 1 ELSE 0 END AS p", "__n0 AS n",
+        f"CASE WHEN {p1} THEN __a ELSE __mu END AS intercept",
+        f"CASE WHEN {p1} THEN __b ELSE 0.0D END AS phi",
+        f"sqrt(CASE WHEN {p1} THEN __rss1 / __n1 ELSE __rss0 / __n0 END) AS sigma",
         "aic_ar0", "aic_ar1")
 
 
@@ -77,20 +79,19 @@ def detect_anomalies(long: DataFrame, params: DataFrame, ids: list[str], ts: str
     """Score every point of the training history against its series model.
     Adds is_anomaly, lower_bound, upper_bound, anomaly_probability."""
     zq = NormalDist().inv_cdf((1.0 + threshold) / 2.0)
-    pr = params.select(*ids, *[F.col(c).alias(f"__{c}") for c in ("d", "p", "intercept", "phi", "sigma")])
+    qi, T, V = ", ".join(_q(i) for i in ids), _q(ts), _q(value)
+    pr = params.selectExpr(*[_q(i) for i in ids],
+                           *[f"{c} AS __{c}" for c in ("d", "p", "intercept", "phi", "sigma")])
     x = _lagged(long, ids, ts, value).join(pr, ids, "left")
-    w = Window.partitionBy(*ids).orderBy(ts)
-    z = F.when(F.col("__d") == 1, F.col("__dy")).otherwise(F.col(value))
-    x = x.withColumn("__z1", F.lag(z, 1).over(w))
-    fz = F.when(F.col("__p") == 1, F.col("__intercept") + F.col("__phi") * F.col("__z1")).otherwise(
-        F.col("__intercept"))
-    fy = F.when(F.col("__d") == 1, F.col("__y1") + fz).otherwise(fz)
-    x = x.withColumn("__f", fy).withColumn("__e", F.col(value) - F.col("__f"))
-    band = F.lit(zq) * F.col("__sigma")
-    return x.select(
-        *ids, ts, value,
-        F.coalesce(F.abs(F.col("__e")) > band, F.lit(False)).alias("is_anomaly"),
-        (F.col("__f") - band).alias("lower_bound"),
-        (F.col("__f") + band).alias("upper_bound"),
-        F.when(F.col("__sigma") > 0, two_sided_probability(F.col("__e") / F.col("__sigma")))
-        .alias("anomaly_probability"))
+    x = x.selectExpr("*", f"lag(CASE WHEN __d = 1 THEN __dy ELSE {V} END, 1) "
+                          f"OVER (PARTITION BY {qi} ORDER BY {T}) AS __z1")
+    fz = "CASE WHEN __p = 1 THEN __intercept + __phi * __z1 ELSE __intercept END"
+    x = x.selectExpr("*", f"CASE WHEN __d = 1 THEN __y1 + ({fz}) ELSE {fz} END AS __f")
+    x = x.selectExpr("*", f"{V} - __f AS __e")
+    band = f"({zq!r}D * __sigma)"
+    return x.selectExpr(
+        *[_q(i) for i in ids], T, V,
+        f"coalesce(abs(__e) > {band}, false) AS is_anomaly",
+        f"__f - {band} AS lower_bound", f"__f + {band} AS upper_bound",
+        f"CASE WHEN __sigma > 0 THEN {two_sided_probability_sql('__e / __sigma')} END "
+        "AS anomaly_probability")
