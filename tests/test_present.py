@@ -17,10 +17,10 @@ def _f1(spark):
 
 
 def _f2(spark):
-    rows = [("INV-001", "1428 Elm Street", "Bend", "97701", 450000, 300, 44.0582, -121.3153, True),
-            ("INV-002", "9000 Hal Avenue", "Bend", "97702", 1200000, 400, 44.0500, -121.3200, True),
-            ("INV-003", "31 Spooner Street", "Bend", "97701", 320000, 250, 44.0600, -121.3000, True),
-            ("INV-004", "742 Evergreen Terrace", "Bend", "97702", 385000, 280, 44.0400, -121.3300, True)]
+    rows = [("INV-001", "1428 Elm Street", "Riverton", "97701", 450000, 300, 44.0582, -121.3153, True),
+            ("INV-002", "9000 Hal Avenue", "Riverton", "97702", 1200000, 400, 44.0500, -121.3200, True),
+            ("INV-003", "31 Spooner Street", "Riverton", "97701", 320000, 250, 44.0600, -121.3000, True),
+            ("INV-004", "742 Evergreen Terrace", "Riverton", "97702", 385000, 280, 44.0400, -121.3300, True)]
     return spark.createDataFrame(rows, "id string, info_street1 string, dim_city string, dim_zip string, "
                                        "met_price long, met_price_per_sqft long, info_latitude double, "
                                        "info_longitude double, is_target_segment boolean")
@@ -45,7 +45,7 @@ def test_kpis_on_mock(spark):
 
 def test_map_points_and_inventory(spark):
     l = _f2(spark).union(spark.createDataFrame(
-        [("INV-005", None, "Bend", "97701", None, None, None, -121.3, True)], _f2(spark).schema))
+        [("INV-005", None, "Riverton", "97701", None, None, None, -121.3, True)], _f2(spark).schema))
     pts = {r.id: r for r in P.map_points(l).collect()}
     assert set(pts) == {"INV-001", "INV-002", "INV-003", "INV-004"}
     assert pts["INV-001"].price_formatted == "$450,000" and pts["INV-001"].listed_date_str == "Unknown"
