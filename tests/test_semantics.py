@@ -141,3 +141,30 @@ def test_pydict_strict_equals_literal_eval(spark):
     for t, j in zip(texts, got):
         want = json.loads(json.dumps(ast.literal_eval(t)))
         assert j is not None and json.loads(j) == want, (t, j)
+
+
+def test_pydict_strict_random_literals(spark):
+    import ast
+    import json
+    import random
+    rnd = random.Random(20241202)
+    atoms = ["None", "True", "False", "it's", 'say "x"', "a\\b", "x, None}", "{'k': 1}", "[1]",
+             "naïve", "tab\there", "", " ", "True story", "(1, 2)", "nan"]
+
+    def gen(depth=0):
+        r = rnd.random()
+        if depth > 2 or r < 0.4:
+            return rnd.choice([None, True, False, rnd.randint(-99, 99), rnd.random() * 100,
+                               rnd.choice(atoms), rnd.choice(atoms) + rnd.choice(atoms)])
+        if r < 0.7:
+            return {rnd.choice(atoms) + str(i): gen(depth + 1) for i in range(rnd.randint(0, 3))}
+        if r < 0.9:
+            return [gen(depth + 1) for _ in range(rnd.randint(0, 3))]
+        return tuple(gen(depth + 1) for _ in range(rnd.randint(1, 2)))
+
+    texts = [str({"v": gen()}) if i % 2 else str([gen()]) for i in range(500)]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, s string")
+    got = {r.i: r.j for r in df.select("i", F.to_json(pydict_to_json("s", "strict")).alias("j")).collect()}
+    for i, t in enumerate(texts):
+        want = json.loads(json.dumps(ast.literal_eval(t)))
+        assert got[i] is not None and json.loads(got[i]) == want, (t, got[i])
