@@ -33,6 +33,15 @@ def latest_listings(spark, sf_dir):
         "comps_count", "comps_avg")
 
 
+def latest_listings_light(spark, sf_dir):
+    """Latest listing rows without the comps columns.  The comps are a left
+    join that never changes the row set, so counts and coordinates are the
+    same; frames that need neither the ratio nor its inputs use this and
+    skip the pair join."""
+    from .queries_series import fact_rows
+    return latest_per_key(fact_rows(spark, sf_dir), "id", ["dim_collected_date", "listing_key"])
+
+
 def trends_filtered(spark, sf_dir):
     return P.trend_filter(anomaly_wide_rounded(spark, sf_dir), T0, T1, segment="true")
 
@@ -67,7 +76,8 @@ def _kdisp(x: str) -> str:
   UNION ALL SELECT 'listings', CAST(count(*) AS DOUBLE), format('{{:,.0f}}', CAST(count(*) AS DOUBLE)) FROM recent"""))
 def kpi_summary(spark, sf_dir):
     """The four dashboard KPIs as a long table."""
-    return P.kpi_summary(trends_filtered(spark, sf_dir), recent(spark, sf_dir))
+    light = P.recent_listings(latest_listings_light(spark, sf_dir), RECENT_AS_OF, target_homes=False)
+    return P.kpi_summary(trends_filtered(spark, sf_dir), light)
 
 
 @register("date_bounds", O.with_(*TREND_CHAIN, select="""
@@ -96,7 +106,8 @@ def map_points(spark, sf_dir):
   SELECT round(avg(latitude), 9) AS centre_lat, round(avg(longitude), 9) AS centre_lon FROM mpts"""))
 def map_centre(spark, sf_dir):
     """Mean coordinates of the map points."""
-    c = P.map_centre(P.map_points(recent(spark, sf_dir)))
+    light = P.recent_listings(latest_listings_light(spark, sf_dir), RECENT_AS_OF, target_homes=False)
+    c = P.map_centre(P.map_points(light))
     return c.select(F.round("centre_lat", 9).alias("centre_lat"), F.round("centre_lon", 9).alias("centre_lon"))
 
 
