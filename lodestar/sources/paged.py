@@ -36,7 +36,7 @@ class _PagedReader(DataSourceReader):
         names = [f.name for f in self.schema.fields]
         offset, limit = 0, self.src.limit
         while True:
-            page = self.src.fetch(partition.key, offset, limit)
+            page = self.src.fetch(partition.key, offset, limit, **self.src.params)
             if not page:
                 break
             for rec in page:
@@ -70,6 +70,7 @@ class PagedSource(DataSource):
     key_column: str | None = None
     limit: int = PAGE_LIMIT
     pushdown: bool = False
+    params: dict = {}
 
     @classmethod
     def name(cls):
@@ -83,15 +84,18 @@ class PagedSource(DataSource):
 
 
 def paged_source(spark: SparkSession, fetch: Callable, keys: list, ddl: str, *,
-                 key_column: str | None = None, limit: int = PAGE_LIMIT, name: str = "paged"):
-    """A DataFrame over a paged API.  ``fetch(key, offset, limit)`` returns a
-    list of dicts (a page); ``ddl`` is the record schema."""
+                 key_column: str | None = None, limit: int = PAGE_LIMIT, name: str = "paged",
+                 params: dict | None = None):
+    """A DataFrame over a paged API.  ``fetch(key, offset, limit, **params)``
+    returns a list of dicts (a page); ``params`` are fixed request filters
+    applied at the source (e.g. a property type); ``ddl`` is the record
+    schema."""
     pushdown = (key_column is not None and str(spark.conf.get(
         "spark.sql.python.filterPushdown.enabled", "false")).lower() == "true")
     cls = type(f"PagedSource_{name}", (PagedSource,),
                {"fetch": staticmethod(fetch), "keys": list(keys), "ddl": ddl,
                 "key_column": key_column, "limit": int(limit), "_name": name,
-                "pushdown": pushdown})
+                "pushdown": pushdown, "params": dict(params or {})})
     spark.dataSource.register(cls)
     return spark.read.format(name).load()
 
@@ -105,7 +109,7 @@ class ParquetPages:
         self.path, self.key_column, self.columns, self.order_by = path, key_column, columns, order_by
         self._cache = {}
 
-    def __call__(self, key, offset: int, limit: int):
+    def __call__(self, key, offset: int, limit: int, **params):
         rows = self._cache.get(key)
         if rows is None:
             import pyarrow.compute as pc

@@ -95,3 +95,15 @@ def test_paged_source_key_filter_pushdown(spark):
         assert df.rdd.getNumPartitions() == 1          # the k2 partition was dropped at planning
     finally:
         spark.conf.set("spark.sql.python.filterPushdown.enabled", "false")
+
+
+def test_paged_source_request_params(spark):
+    data = [{"id": i, "key": "k", "kind": "house" if i % 2 else "flat"} for i in range(9)]
+
+    def fetch(key, offset, limit, kind=None):
+        rows = [r for r in data if kind is None or r["kind"] == kind]   # filtered by the "server"
+        return rows[offset:offset + limit]
+
+    df = paged_source(spark, fetch, ["k"], "id long, key string, kind string", limit=2,
+                      name="paged_params", params={"kind": "house"})
+    assert sorted(r.id for r in df.collect()) == [1, 3, 5, 7]
