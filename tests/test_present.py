@@ -63,3 +63,28 @@ def test_date_bounds_defaults_when_empty(spark):
 def test_latest_trend_row(spark):
     r = P.latest_trend_row(_f1(spark), cols=["dim_collected_date", "met_price_median"]).first()
     assert r.met_price_median == 466000
+
+
+def test_recent_listings_target_and_unreadable_dates(spark):
+    rows = [("a", "2024-06-20", True), ("b", "2024-06-30", False), ("c", "not a date", True),
+            ("d", "2024-05-01", True), ("e", "2024-06-02", True)]
+    df = spark.createDataFrame(rows, "id string, dim_listed_date string, is_target boolean")
+    got = sorted(r.id for r in P.recent_listings(df, "2024-06-30").collect())
+    assert got == ["a", "e"]                       # 28 days inclusive, target only, bad date dropped
+    got_all = sorted(r.id for r in P.recent_listings(df, "2024-06-30", target_homes=False).collect())
+    assert got_all == ["a", "b", "e"]
+
+
+def test_band_series_and_points_on_mock(spark):
+    from lodestar.plans.queries_models import band_series_df
+    from pyspark.sql import functions as F
+    t = _f1(spark)
+    for m in ("met_price_avg", "met_price_per_sqft_median", "met_price_per_sqft_avg"):
+        t = t.withColumns({m: F.lit(1.0), f"{m}_lower_bound": F.lit(0.0), f"{m}_upper_bound": F.lit(2.0)})
+    for flag in ("is_price_avg_anomaly", "is_price_per_sqft_median_anomaly", "is_price_per_sqft_avg_anomaly"):
+        t = t.withColumn(flag, F.lit(False))
+    bands = band_series_df(t, ["Median Price"])
+    assert bands.count() == 52
+    pts = bands.where("is_anomaly").collect()
+    assert len(pts) == 1 and pts[0].value == 400000 + 50000 + 5000 * 2
+    assert band_series_df(t).count() == 4 * 52
