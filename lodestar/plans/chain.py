@@ -97,8 +97,11 @@ def run_chain(spark, raw_dir: str, warehouse: str, as_of, *, target_zip: str,
     f = add_fact_metrics(add_target_flag(add_fact_flags(new_base, as_of), as_of, zip_value=target_zip,
                                          centre_lon=centre_lon, centre_lat=centre_lat,
                                          radius_m=target_radius_m), as_of)
+    # Comps match on the date, and the base holds every row of each date
+    # newer than the fact mark, so the new rows are their own complete
+    # reference (S17): no run re-aggregates the points of the whole history.
     f = add_comps_ratio(f, keys=[day, "met_bedrooms"], lon="info_longitude", lat="info_latitude",
-                        value="met_price", radius_m=comps_radius_m, reference=base)
+                        value="met_price", radius_m=comps_radius_m)
     append_partitions(f, fact_p, day)
     fact = spark.read.parquet(fact_p)
 
