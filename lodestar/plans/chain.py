@@ -86,8 +86,9 @@ def run_chain(spark, raw_dir: str, warehouse: str, as_of, *, target_zip: str,
     base_p, fact_p = f"{warehouse}/base", f"{warehouse}/fact"
     day = "dim_collected_date"
 
-    raw = read_snapshots(spark, raw_dir)
     base_t = spark.read.parquet(base_p) if table_exists(spark, base_p) else None
+    mark = base_t.agg(F.max(day)).first()[0] if base_t is not None else None
+    raw = read_snapshots(spark, raw_dir, after=mark.strftime("%Y%m%d") if mark else None)
     new_raw = after_mark(raw, parse_date("collected_date"), base_t, day)
     append_partitions(typed_projection(new_raw, BASE_SPEC).where(F.col(day).isNotNull()), base_p, day)
     base = spark.read.parquet(base_p)

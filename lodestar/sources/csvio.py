@@ -58,11 +58,21 @@ def _header_lines(it):
 
 
 def read_snapshots(spark: SparkSession, path: str, glob: str = "*.csv",
-                   recursive: bool = True) -> DataFrame:
+                   recursive: bool = True, after: str | None = None) -> DataFrame:
     """All CSV files below ``path``, columns matched by header name, every
-    value as text (no inference: leading zeros are kept)."""
+    value as text (no inference: leading zeros are kept).
+
+    ``after`` (yyyyMMdd) prunes at listing time: a file whose path carries
+    a load date (a whole path segment) that is not later is skipped, so an
+    incremental run does not re-read the history.  Files without a date in
+    their path are always read; the row-level mark stays the exact rule."""
     files = (spark.read.format("binaryFile").option("pathGlobFilter", glob)
              .option("recursiveFileLookup", str(recursive).lower()).load(path).select("path"))
+    if after:
+        # the last path segment that is exactly a date: a folder YYYYMMDD or
+        # key=YYYYMMDD, or a file YYYYMMDD.csv (never digits inside a name)
+        load_day = F.regexp_extract("path", r".*[/=](\d{8})(?:\.csv)?(?=/|$)", 1)
+        files = files.where((load_day == "") | (load_day > F.lit(after)))
     heads = files.mapInPandas(_header_lines, "path string, header string")
     groups = heads.groupBy("header").agg(F.sort_array(F.collect_list("path")).alias("paths"))
     parts = []

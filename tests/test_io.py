@@ -107,3 +107,18 @@ def test_paged_source_request_params(spark):
     df = paged_source(spark, fetch, ["k"], "id long, key string, kind string", limit=2,
                       name="paged_params", params={"kind": "house"})
     assert sorted(r.id for r in df.collect()) == [1, 3, 5, 7]
+
+
+def test_read_snapshots_prunes_loads_by_date(spark, scratch):
+    base = scratch("loads")
+    for day, ids in (("20240101", ["1"]), ("20240108", ["2"]), ("undated", ["3"]),
+                     ("load_date=20240115", ["4"])):
+        csvio.write_snapshot(spark.createDataFrame([(i,) for i in ids], "id string"), f"{base}/{day}")
+    # digits inside a file name are not a load date
+    import shutil
+    os_path = base.replace("file:", "")
+    src = next(p for p in __import__("glob").glob(f"{os_path}/undated/*.csv"))
+    shutil.copy(src, f"{os_path}/undated/part-00001-12345678-abcd.csv")
+    got = sorted(r.id for r in csvio.read_snapshots(spark, base, after="20240101").collect())
+    assert got == ["2", "3", "3", "4"]
+    assert sorted(r.id for r in csvio.read_snapshots(spark, base).collect()) == ["1", "2", "3", "3", "4"]
