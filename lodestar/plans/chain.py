@@ -45,6 +45,13 @@ def build_series(facts: DataFrame, *, segment_col: str = "is_target",
     each segment (metrics NULL, count 0), so the frames count calendar
     weeks instead."""
     ts = series_base(facts, segment_col=segment_col, date_col=date_col, accuracy=accuracy)
+    return series_windows(ts, date_col=date_col, fill_gaps=fill_gaps)
+
+
+def series_windows(ts: DataFrame, *, date_col: str = "dim_collected_date",
+                   fill_gaps: bool = False) -> DataFrame:
+    """The window part of the series over the aggregated (date, segment)
+    table: moving averages, 52-week prior values, crossovers."""
     if fill_gaps:
         from ..operators.calendar import regularise_series
         ts = regularise_series(ts, ["is_target_segment"], date_col, SERIES_METRICS,
@@ -106,7 +113,16 @@ def run_chain(spark, raw_dir: str, warehouse: str, as_of, *, target_zip: str,
     append_partitions(f, fact_p, day)
     fact = spark.read.parquet(fact_p)
 
-    series = materialize(build_series(fact, segment_col=segment_col))
+    # Series: facts are append-only by date, so a week's aggregate never
+    # changes once its facts landed.  Only weeks after the stored
+    # aggregate's mark are aggregated (a scan of the new fact dates, pruned
+    # by the literal mark); the windows are recomputed over the small
+    # (week, segment) table.
+    agg_p = f"{warehouse}/series_base"
+    agg_t = spark.read.parquet(agg_p) if table_exists(spark, agg_p) else None
+    new_fact = after_mark(fact, day, agg_t, day)
+    series_base(new_fact, segment_col=segment_col).write.mode("append").parquet(agg_p)
+    series = materialize(series_windows(spark.read.parquet(agg_p)))
     series = rebuild_table(series, f"{warehouse}/series")
     long = unpivot_metrics(series, SERIES_KEYS, SERIES_METRICS)
     ids = ["is_target_segment", "dim_metric_name"]
