@@ -20,7 +20,8 @@ def test_incremental_chain_facts_equal_one_shot(spark, scratch):
     csvio.write_snapshot(raw.where(early), f"{raw_dir}/load=1")
     run_chain(spark, raw_dir, wh, AS_OF, **args)
     csvio.write_snapshot(raw.where(~early).drop("hoa"), f"{raw_dir}/load=2")
-    fact = run_chain(spark, raw_dir, wh, AS_OF, **args)["fact"]
+    tables = run_chain(spark, raw_dir, wh, AS_OF, **args)
+    fact = tables["fact"]
     base = typed_projection(raw, BASE_SPEC).where(F.col("dim_collected_date").isNotNull())
     want = add_comps_ratio(base, keys=["dim_collected_date", "met_bedrooms"], lon="info_longitude",
                            lat="info_latitude", value="met_price", radius_m=1000.0)
@@ -29,3 +30,7 @@ def test_incremental_chain_facts_equal_one_shot(spark, scratch):
     exp = {r.mls_number: r.met_price_vs_comps_ratio for r in
            want.select("mls_number", "met_price_vs_comps_ratio").collect()}
     assert got == exp and len(got) == base.count()
+    from lodestar.operators.snapshot import latest_per_key
+    one_shot = latest_per_key(base, "id", ["dim_collected_date", "mls_number"])
+    assert ({(r.id, r.mls_number) for r in tables["latest"].select("id", "mls_number").collect()}
+            == {(r.id, r.mls_number) for r in one_shot.select("id", "mls_number").collect()})
