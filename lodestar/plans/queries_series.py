@@ -4,12 +4,10 @@ from __future__ import annotations
 
 from functools import lru_cache
 
-from pyspark.sql import functions as F
-
 from ..operators import series as S
 from ..operators.features import add_fact_flags, add_fact_metrics, add_target_flag
 from . import oracle as O
-from .chain import MA_WINDOWS, PRIOR, SERIES_METRICS, build_series, series_base, with_moving_averages
+from .chain import MA_WINDOWS, PRIOR, build_series, series_base, with_moving_averages
 from .registry import register, rounded
 from .standins import (AS_OF, TARGET_LAT, TARGET_LON, TARGET_RADIUS_M, TARGET_ZIP, listings)
 
@@ -106,5 +104,3 @@ def yoy_crossover(spark, sf_dir):
     return s.select("dim_collected_date", "is_target_segment", "met_12_week_ma",
                     "met_prior_04_week_ma", "is_yoy_cross_down", "is_yoy_cross_up")
 
-
-__all__ = ["fact_rows", "market_series_df", "F", "SERIES_METRICS"]
