@@ -11,6 +11,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -71,3 +72,21 @@ def materialize(df):
     stages read it back instead of recomputing it from the fact table."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the session's Python workers (once a context), so
+    that their functions import it wherever the driver was started."""
+    sc = spark.sparkContext
+    if getattr(sc, "_lodestar_shipped", False):
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    archive = os.path.join(tempfile.mkdtemp(prefix="run-"), "lodestar_package.zip")
+    with zipfile.ZipFile(archive, "w") as z:
+        for folder, _, names in os.walk(root):
+            for n in names:
+                if n.endswith(".py"):
+                    full = os.path.join(folder, n)
+                    z.write(full, os.path.join("lodestar", os.path.relpath(full, root)))
+    sc.addPyFile(archive)
+    sc._lodestar_shipped = True
