@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import brown_lm
+from lodestar.session import scratch_path
+
+from . import brown_lm, packing, repair_store
 from .common import table_path
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -21,3 +23,16 @@ def _register(fn):
 @_register
 def op1_brown_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return brown_lm.op1_query(spark.read.parquet(table_path(sf_dir, "documents")))
+
+
+@_register
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = spark.read.parquet(table_path(sf_dir, "documents"))
+    return packing.pack(docs).drop("tier", "step_id")
+
+
+@_register
+def op10_repair_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "op10-ids")
+    repair_store.write_ids(spark.read.parquet(table_path(sf_dir, "documents")), path)
+    return repair_store.read_ids(spark, path)

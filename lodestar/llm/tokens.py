@@ -1,23 +1,26 @@
 """Exact token ids of whole texts from a public tokenizer file.
 
 Both public vocabularies used here split a text into words before merging, and
-no word reaches across a change from a visible character to white space.
-So the ids of a text are the ids of its pieces (white space and the word after
-it) put together, and a worker keeps the ids of the pieces it has met.  The
-ids of a piece always come from the tokenizers library.  Texts with white
-space other than space and line feed go to the library whole.
+no word reaches from a visible character into white space, or from a letter or
+digit into a mark.  So the ids of a text are the ids of its pieces put
+together, and a worker keeps the ids of the pieces it has met.  The ids of a
+piece always come from the tokenizers library.  Texts with white space other
+than space and line feed go to the library whole; texts with characters from
+U+0300 on, where normal forms may join neighbours, or with U+0130, whose lower
+case is such a pair, are cut at white space only.
 """
 
 from __future__ import annotations
 
 import os
 import re
+from array import array
 
-import numpy as np
-
-_PIECES = re.compile(r"[ \n]*[^ \n]+|[ \n]+").findall
+_AT_SPACE = re.compile(r"[ \n]*[^ \n]+|[ \n]+").findall
+_AT_SPACE_AND_MARKS = re.compile(r"[ \n]*[^\W_]+|[ \n]*[^ \n]+|[ \n]+").findall
 _OTHER_SPACE = re.compile(r"[^\S \n]").search
-KEPT_PIECES = 400_000
+_MAY_JOIN = re.compile("[\u0130\u0300-\U0010ffff]").search
+KEPT_PIECES = 300_000  # in each of two generations
 KEPT_LENGTH = 48
 
 
@@ -30,30 +33,37 @@ class PieceEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def _library(self, texts: list[str]) -> list[bytes]:
         got = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(x.ids, "<u4").tobytes() for x in got]
+        return [array("I", x.ids).tobytes() for x in got]
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        known = self.known
-        if len(known) > KEPT_PIECES:
-            known.clear()
-        out: list[bytes] = []
-        for text in texts:
+        if len(self.known) > KEPT_PIECES:
+            self.known, self.older = {}, self.known
+        known, older = self.known, self.older
+        out: list[bytes | None] = [None] * len(texts)
+        whole, parts, new = [], {}, set()
+        for i, text in enumerate(texts):
             if _OTHER_SPACE(text):
-                out += self._library([text])
-                continue
-            pieces = _PIECES(text)
-            try:
-                out.append(b"".join([known[p] for p in pieces]))
+                whole.append(i)
                 continue
-            except KeyError:
-                pass
-            new = list({p for p in pieces if p not in known})
-            here = dict(zip(new, self._library(new)))
-            out.append(b"".join([known[p] if p in known else here[p] for p in pieces]))
-            known.update((p, ids) for p, ids in here.items() if len(p) <= KEPT_LENGTH)
+            pieces = (_AT_SPACE if _MAY_JOIN(text) else _AT_SPACE_AND_MARKS)(text)
+            got = list(map(known.get, pieces))
+            if None in got:
+                parts[i] = pieces, got
+                new.update([p for p, ids in zip(pieces, got) if ids is None])
+            else:
+                out[i] = b"".join(got)
+        here = {p: older[p] for p in new if p in older}
+        new = [p for p in new if p not in here]
+        here.update(zip(new, self._library(new)))
+        for i, (pieces, got) in parts.items():
+            out[i] = b"".join([here[p] if ids is None else ids for p, ids in zip(pieces, got)])
+        known.update((p, ids) for p, ids in here.items() if len(p) <= KEPT_LENGTH)
+        for i, ids in zip(whole, self._library([texts[i] for i in whole])):
+            out[i] = ids
         return out
 
 
