@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from lodestar.session import scratch_path
 
-from . import brown_lm, packing, repair_store
+from . import brown_lm, packing, repair_store, simhash
 from .common import table_path
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -36,3 +36,8 @@ def op10_repair_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "op10-ids")
     repair_store.write_ids(spark.read.parquet(table_path(sf_dir, "documents")), path)
     return repair_store.read_ids(spark, path)
+
+
+@_register
+def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(spark.read.parquet(table_path(sf_dir, "documents")))
