@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from lodestar.session import scratch_path
 
-from . import brown_lm, packing, repair_store, simhash
+from . import brown_lm, langid, packing, repair_store, simhash, toxicity
 from .common import table_path
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -41,3 +41,14 @@ def op10_repair_store(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_register
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(spark.read.parquet(table_path(sf_dir, "documents")))
+
+
+@_register
+def op9_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.op9_query(spark.read.parquet(table_path(sf_dir, "documents")))
+
+
+@_register
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.op6_query(spark.read.parquet(table_path(sf_dir, "documents")),
+                              spark.read.parquet(table_path(sf_dir, "labels")))
