@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from lodestar.session import scratch_path
 
-from . import brown_lm, langid, packing, repair_store, simhash, toxicity
+from . import brown_lm, decontam, langid, packing, repair_store, simhash, toxicity
 from .common import table_path
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -52,3 +52,9 @@ def op9_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.op6_query(spark.read.parquet(table_path(sf_dir, "documents")),
                               spark.read.parquet(table_path(sf_dir, "labels")))
+
+
+@_register
+def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.op2_query(spark.read.parquet(table_path(sf_dir, "documents")),
+                              spark.read.parquet(table_path(sf_dir, "benchmark")))
