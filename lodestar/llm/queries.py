@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from lodestar.session import scratch_path
 
-from . import brown_lm, decontam, langid, packing, repair_store, simhash, toxicity
-from .common import table_path
+from . import ann_tree, brown_lm, chat_format, decontam, langid, license_scan, packing, repair_store, simhash, toxicity
+from .common import cut, table_path
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 LLM_ORACLE: dict[str, str] = {}
@@ -58,3 +58,20 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.op2_query(spark.read.parquet(table_path(sf_dir, "documents")),
                               spark.read.parquet(table_path(sf_dir, "benchmark")))
+
+
+@_register
+def op3_ann_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann_tree.op3_query(spark.read.parquet(table_path(sf_dir, "embeddings")))
+
+
+@_register
+def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(spark.read.parquet(table_path(sf_dir, "documents")))
+
+
+@_register
+def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = spark.read.parquet(table_path(sf_dir, "conversations"))
+    stored = cut(chat_format.format_turns(chat_format.with_probe(turns)), "op8-turns")
+    return chat_format.read_digest(stored).drop("n_examples")
