@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+import corpus_pipeline
 from lodestar.session import scratch_path
 
 from . import ann_tree, brown_lm, chat_format, decontam, langid, license_scan, packing, repair_store, simhash, toxicity
@@ -75,3 +76,6 @@ def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = spark.read.parquet(table_path(sf_dir, "conversations"))
     stored = cut(chat_format.format_turns(chat_format.with_probe(turns)), "op8-turns")
     return chat_format.read_digest(stored).drop("n_examples")
+
+
+LLM_QUERIES["pipeline"] = corpus_pipeline.run

@@ -50,16 +50,16 @@ def fingerprint(text: bytes, words: int = SHINGLE) -> int:
     return int(((2 * ones > len(hashes)).astype(np.uint64) << np.arange(64, dtype=np.uint64)).sum())
 
 
-def fingerprints(docs: DataFrame, text: str, key: str, words: int) -> DataFrame:
-    """(doc_id, fp as long) for each row; a null text counts as empty."""
-    kind = docs.schema[key].dataType.simpleString()
+def fingerprints(docs: DataFrame, text: str, keep: tuple[str, ...], words: int) -> DataFrame:
+    """(keep, fp as long) for each row; a null text counts as empty."""
+    rows = docs.select(F.struct(*[F.col(c) for c in keep]).alias("keep"), utf8(text).alias("t"))
 
     def run(batches):
         for batch in batches:
             got = np.array([fingerprint(t, words) for t in batch.column(1).to_pylist()], np.uint64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(got.view(np.int64))], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(got.view(np.int64))], ["keep", "fp"])
 
-    return docs.select(F.col(key).alias("doc_id"), utf8(text).alias("t")).mapInArrow(run, f"doc_id {kind}, fp long")
+    return rows.mapInArrow(run, f"keep {rows.schema['keep'].dataType.simpleString()}, fp long")
 
 
 def _differ(a: str, b: str):
@@ -113,6 +113,15 @@ def link(nodes: DataFrame, distance: int = DISTANCE) -> DataFrame:
     return _labelled(nodes, links.union(cut(found.select("a", "b").distinct(), "simhash-links")))
 
 
+def groups(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = ("doc_id",), words: int = SHINGLE,
+           distance: int = DISTANCE) -> DataFrame:
+    """(keep, fp, label) for each row: rows share a label if links of at most
+    ``distance`` differing bits connect them."""
+    prints = cut(fingerprints(docs, text, keep, words), "simhash-prints")
+    nodes = link(prints.groupBy("fp").agg(F.count("*").alias("n")), distance)
+    return prints.join(nodes.select("fp", "label"), "fp").select("keep", "fp", "label")
+
+
 def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", words: int = SHINGLE,
                     distance: int = DISTANCE) -> DataFrame:
     """doc_id, fingerprint (16 hex digits) and component_id for each row.
@@ -122,11 +131,21 @@ def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", wo
     id unless all its keys are null.  Texts without words share fingerprint
     zero, linked like any other.  Repeated rows stay.
     """
-    prints = cut(fingerprints(docs, text, key, words), "simhash-prints")
-    per_print = cut(prints.groupBy("fp").agg(F.count("*").alias("n"), F.min("doc_id").alias("least")), "simhash-fp")
-    labels = link(per_print.select("fp", "n"), distance)
-    least = per_print.join(labels.select("fp", "label"), "fp")
-    class_id = least.groupBy("label").agg(F.min("least").alias("component_id"))
-    of_print = least.select("fp", "label").join(class_id, "label").select("fp", "component_id")
-    return prints.join(of_print, "fp").select(
+    rows = groups(docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text")), "text", ("doc_id",), words, distance)
+    rows = rows.select("keep.doc_id", "fp", "label")
+    least = rows.groupBy("label").agg(F.min("doc_id").alias("component_id"))
+    return rows.join(least, "label").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def one_of_each(docs: DataFrame, text: str = "text", key: str = "doc_id", words: int = SHINGLE,
+                distance: int = DISTANCE) -> DataFrame:
+    """One row of each group of near duplicates, with its columns: the one of
+    smallest key (null last), of equal keys that of smallest hash."""
+    rows = docs.select(F.struct("*").alias("row"), F.col(key).alias("key"), F.col(text).alias("text"),
+                       F.xxhash64(F.to_json(F.struct("*"))).alias("hash"))
+    best = F.struct(F.col("keep.key").isNull().alias("none"), "keep.key", "keep.hash")
+    kept = groups(rows, "text", ("key", "hash"), words, distance).groupBy("label").agg(F.min(best).alias("best"))
+    kept = kept.select(F.col("best.key").alias("kept_key"), F.col("best.hash").alias("kept_hash"))
+    same = F.col("key").eqNullSafe(F.col("kept_key")) & (F.col("hash") == F.col("kept_hash"))
+    return rows.join(kept, same, "left_semi").dropDuplicates(["key", "hash"]).select("row.*")
