@@ -36,10 +36,14 @@ def ints(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
     return column.to_numpy(zero_copy_only=False)
 
 
+def small(batches, rows: int = 512):
+    """The same rows in batches of few, so that what a task makes of a batch
+    stays small beside it."""
+    for batch in batches:
+        for lo in range(0, batch.num_rows, rows):
+            yield batch.slice(lo, rows)
+
+
 def table_path(sf_dir: str, name: str) -> str:
     return f"{sf_dir}/{name}.parquet"
 
-
-def partition_floor(df: DataFrame) -> int:
-    """Shuffle partitions of the session, for repartitions without a key."""
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
