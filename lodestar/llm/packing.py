@@ -22,7 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .tokens import PieceEncoder, tokenizer_file
+from .tokens import encoder
 
 TIERS = (1024, 512, 256, 128)
 STEP_WINDOWS = 8  # a step group holds the tokens of so many of the longest windows
@@ -126,7 +126,7 @@ def pack(docs: DataFrame, text: str = "text", key: str = "doc_id", tokenizer: st
     out_type = f"doc_id {schema[0].dataType.simpleString()}, {_SCHEMA}" + (", ids array<int>" if with_ids else "")
 
     def run(batches):
-        encoder = PieceEncoder(tokenizer_file(tokenizer))
+        coder = encoder(tokenizer)
         packer = Packer(tiers, step_windows)
         base = TaskContext.get().partitionId() << 33
         end = end_id.to_bytes(4, "little")
@@ -157,7 +157,7 @@ def pack(docs: DataFrame, text: str = "text", key: str = "doc_id", tokenizer: st
             id_type[0] = batch.column(0).type
             names, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             for lo in range(0, len(texts), 256):
-                got = encoder.encode(texts[lo:lo + 256])
+                got = coder.encode(texts[lo:lo + 256])
                 for name, ids in zip(names[lo:lo + 256], got):
                     ids += end
                     fresh += len(ids) // 4

@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import struct
 import zlib
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -25,23 +26,23 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import ints
-from .tokens import PieceEncoder, tokenizer_file
+from .tokens import encoder
 
 SHARD_IDS = 1 << 20
-ROUNDS = 5
-RULES_A_ROUND = 4096
+ROUNDS = 3
+RULES_A_ROUND = 4000
 LEAST = 8  # occurrences that make a pair worth a rule
 END_ID = 2
 MAGIC = b"RPG1"
 
 
-def _chosen(pairs: np.ndarray, counts: np.ndarray, most: int) -> list[int]:
+def _chosen(left: np.ndarray, right: np.ndarray, counts: np.ndarray, most: int) -> list[int]:
     """Frequent pairs, the most frequent first, that never overlap in a text:
     a symbol is only ever the left or only the right of chosen pairs."""
     role: dict[int, str] = {}
     out = []
-    for i in np.lexsort((pairs, -counts))[:most]:
-        a, b = int(pairs[i]) >> 32, int(pairs[i]) & 0xFFFFFFFF
+    order = np.argsort(-counts, kind="stable")[:most]
+    for i, a, b in zip(order.tolist(), left[order].tolist(), right[order].tolist()):
         if a == b:
             if a not in role:
                 role[a] = "both"
@@ -54,30 +55,33 @@ def _chosen(pairs: np.ndarray, counts: np.ndarray, most: int) -> list[int]:
 
 def compress(ids: np.ndarray, rounds: int = ROUNDS, least: int = LEAST) -> bytes:
     """The grammar of one shard, as laid out above."""
-    x = ids.astype(np.int64)
-    first = int(x.max()) + 1 if len(x) else 0
+    first = int(ids.max()) + 1 if len(ids) else 0
+    narrow = first + rounds * RULES_A_ROUND <= 1 << 16
+    symbol, pair, bits = (np.uint16, np.uint32, 16) if narrow else (np.uint32, np.uint64, 32)
+    x = ids.astype(symbol)
     rules: list[np.ndarray] = []
     n_rules = 0
     for _ in range(rounds):
         if len(x) < 2:
             break
-        key = (x[:-1] << 32) | x[1:]
+        key = (x[:-1].astype(pair) << pair(bits)) | x[1:]
         pairs = np.sort(key)
-        starts = np.concatenate([[0], np.nonzero(pairs[1:] != pairs[:-1])[0] + 1])
-        counts = np.diff(np.append(starts, len(pairs)))
+        ends = np.append(np.nonzero(pairs[1:] != pairs[:-1])[0] + 1, len(pairs))
+        counts = np.diff(ends, prepend=0)
         frequent = counts >= least
-        pairs, counts = pairs[starts][frequent], counts[frequent]
-        picked = np.sort(pairs[_chosen(pairs, counts, RULES_A_ROUND)])
+        pairs, counts = pairs[ends[frequent] - 1], counts[frequent]
+        picked = np.sort(pairs[_chosen(pairs >> pair(bits), pairs & pair((1 << bits) - 1), counts, RULES_A_ROUND)])
         if not len(picked):
             break
         symbols = first + n_rules
         left, right = np.zeros(symbols, bool), np.zeros(symbols, bool)
-        left[picked >> 32] = True
-        right[picked & 0xFFFFFFFF] = True
+        left[picked >> pair(bits)] = True
+        right[picked & pair((1 << bits) - 1)] = True
         at = np.nonzero(left[x[:-1]] & right[x[1:]])[0]
-        found = np.searchsorted(picked, key[at])
+        wanted = key[at]
+        found = np.searchsorted(picked, wanted)
         found[found == len(picked)] = 0
-        hit = picked[found] == key[at]
+        hit = picked[found] == wanted
         at, found = at[hit], found[hit]
         # in a run of one symbol every second place is taken
         same = x[at] == x[at + 1]
@@ -88,14 +92,13 @@ def compress(ids: np.ndarray, rounds: int = ROUNDS, least: int = LEAST) -> bytes
             keep = np.ones(len(at), bool)
             keep[same] = run % 2 == 0
             at, found = at[keep], found[keep]
-        x[at] = symbols + found
+        x[at] = (symbols + found).astype(symbol)
         stay = np.ones(len(x), bool)
         stay[at + 1] = False
         x = x[stay]
-        rules.append(picked)
+        rules.append(np.stack([picked >> pair(bits), picked & pair((1 << bits) - 1)], 1).astype(np.int64))
         n_rules += len(picked)
-    flat = np.concatenate(rules) if rules else np.zeros(0, np.int64)
-    table = np.stack([flat >> 32, flat & 0xFFFFFFFF], 1).astype("<u4")
+    table = (np.concatenate(rules) if rules else np.zeros((0, 2), np.int64)).astype("<u4")
     size = 2 if first + n_rules <= 65536 else 4
     lengths = _lengths(first, table)
     return (MAGIC + struct.pack("<IIII", first, n_rules, len(x), size) + table.tobytes()
@@ -137,7 +140,8 @@ class Shard:
             first, done = self.first, []
             for a, b in self.rules.tolist():
                 done.append((done[a - first] if a >= first else (a,)) + (done[b - first] if b >= first else (b,)))
-            self._flat = np.concatenate([np.arange(first), *[np.array(x) for x in done]]).astype(np.int64)
+            flat = np.fromiter(chain.from_iterable(done), np.int64, int(self.lengths.sum()))
+            self._flat = np.concatenate([np.arange(first), flat])
             ends = np.cumsum(self.lengths)
             self._begin = np.concatenate([np.arange(first), first + ends - self.lengths])
         return self._flat, self._begin
@@ -171,7 +175,7 @@ def write_ids(docs: DataFrame, path: str, text: str = "text", key: str = "doc_id
     id_type = rows.schema["doc_id"].dataType.simpleString()
 
     def run(batches):
-        encoder, part = PieceEncoder(tokenizer_file(tokenizer)), TaskContext.get().partitionId()
+        coder, part = encoder(tokenizer), TaskContext.get().partitionId()
         end = end_id.to_bytes(4, "little")
         names, coded, size, start = [], [], 0, 0
         kind = pa.int64()
@@ -187,7 +191,7 @@ def write_ids(docs: DataFrame, path: str, text: str = "text", key: str = "doc_id
             kind = batch.column(0).type
             keys, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             for lo in range(0, len(texts), 256):
-                for name, ids in zip(keys[lo:lo + 256], encoder.encode(texts[lo:lo + 256])):
+                for name, ids in zip(keys[lo:lo + 256], coder.encode(texts[lo:lo + 256])):
                     names.append(name)
                     coded.append(ids + end)
                     size += len(ids) // 4 + 1

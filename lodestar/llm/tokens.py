@@ -8,20 +8,29 @@ piece always come from the tokenizers library.  Texts with white space other
 than space and line feed go to the library whole; texts with characters from
 U+0300 on, where normal forms may join neighbours, or with U+0130, whose lower
 case is such a pair, are cut at white space only.
+
+Two cuts need no pattern: where a vocabulary ignores case and white space, the
+lower-cased words; else, without two white space characters in a row (whose
+ids hang together), each word with the one before it.
 """
 
 from __future__ import annotations
 
+import json
 import os
 import re
 from array import array
 
+import numpy as np
+
 _AT_SPACE = re.compile(r"[ \n]*[^ \n]+|[ \n]+").findall
 _AT_SPACE_AND_MARKS = re.compile(r"[ \n]*[^\W_]+|[ \n]*[^ \n]+|[ \n]+").findall
 _OTHER_SPACE = re.compile(r"[^\S \n]").search
 _MAY_JOIN = re.compile("[\u0130\u0300-\U0010ffff]").search
-KEPT_PIECES = 300_000  # in each of two generations
+_ODD_ASCII_SPACE = "\t\r\x0b\x0c\x1c\x1d\x1e\x1f"
+KEPT_PIECES = 800_000  # in each of two generations
 KEPT_LENGTH = 48
+TOGETHER = 1024  # new pieces that go to the library in one text
 
 
 class PieceEncoder:
@@ -32,41 +41,133 @@ class PieceEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        added = self.tokenizer.get_added_tokens_decoder()
+        # an added token is cut out before all else, so pieces on its two sides do not touch
+        self.between_id, between = min(((i, t) for i, t in added.items() if t.special and not (
+            t.lstrip or t.rstrip or t.single_word or t.normalized)), default=(None, None), key=lambda x: x[0])
+        self.between = between.content if between else None
+        kinds = json.dumps(json.loads(self.tokenizer.to_str())["normalizer"] or {})
+        self.folds = self.tokenizer.model.end_of_word_suffix is not None and '"Lowercase"' in kinds
+        self.model = self.tokenizer.model
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
 
+    def _cut(self, text: str) -> list[str] | None:
+        """The pieces of a text; None if it has to be encoded whole."""
+        plain = text.isascii()
+        if any(c in text for c in _ODD_ASCII_SPACE) if plain else _OTHER_SPACE(text):
+            return None
+        joins = not plain and _MAY_JOIN(text)
+        if self.folds and not joins and "<|" not in text:
+            return text.lower().split()
+        if "  " in text or "\n\n" in text or " \n" in text or "\n " in text or "\0" in text:
+            return (_AT_SPACE if joins else _AT_SPACE_AND_MARKS)(text)
+        return text.replace(" ", "\0 ").replace("\n", "\0\n").split("\0")
+
     def _library(self, texts: list[str]) -> list[bytes]:
         got = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [array("I", x.ids).tobytes() for x in got]
 
+    def _pieces(self, pieces: list[str]) -> list[bytes]:
+        if self.between is None or any(self.between in p for p in pieces):
+            return self._library(pieces)
+        out: list[bytes] = []
+        for lo in range(0, len(pieces), TOGETHER):
+            part = pieces[lo:lo + TOGETHER]
+            got = self.tokenizer.encode_batch_fast([self.between.join(part)], add_special_tokens=False)[0].ids
+            ids = np.array(got, "<u4")
+            ends = [*np.nonzero(ids == self.between_id)[0].tolist(), len(ids)]
+            raw, start = ids.tobytes(), 0
+            for end in ends:
+                out.append(raw[4 * start:4 * end])
+                start = end + 1
+        return out
+
+    def _new(self, pieces: set[str]) -> dict[str, bytes]:
+        """Ids of pieces not met lately.  A line feed before a word and the
+        marks after it are words of their own, so only what lies between has
+        to be new; plain letters are one word to the library's model."""
+        known, older, here = self.known, self.older, {}
+        split, others, letters = [], set(), set()
+        for p in pieces:
+            if p in older or not p:
+                here[p] = older.get(p, b"")
+                continue
+            core = p.rstrip(".,;:!?")
+            if not core or not core[-1].isalnum() or _MAY_JOIN(p):
+                core = p
+            rest = p[len(core):]
+            first = "\n" if core[0] == "\n" and len(core) > 1 and core[1] not in " \n" else ""
+            core = core[len(first):]
+            split.append((p, first, core, rest))
+            for part in (first, core, rest):
+                if not part or part in known:
+                    continue
+                if part in older:
+                    here[part] = older[part]
+                    continue
+                word = part[1:] if part[0] == " " else part
+                plain = word.isascii() and word.isalpha() and (word.islower() or not self.folds)
+                (letters if plain else others).add(part)
+        others = list(others)
+        here.update(zip(others, self._pieces(others)))
+        tokenize, folds = self.model.tokenize, self.folds
+        for part in letters:
+            word = part if part[0] != " " else part[1:] if folds else "\u0120" + part[1:]
+            here[part] = array("I", [t.id for t in tokenize(word)]).tobytes()
+        for p, first, core, rest in split:
+            if first or rest:
+                here[p] = b"".join([here[x] if x in here else known[x] for x in (first, core, rest) if x])
+        return here
+
     def encode(self, texts: list[str]) -> list[bytes]:
         if len(self.known) > KEPT_PIECES:
             self.known, self.older = {}, self.known
         known, older = self.known, self.older
         out: list[bytes | None] = [None] * len(texts)
-        whole, parts, new = [], {}, set()
+        whole, parts, new = [], [], set()
         for i, text in enumerate(texts):
-            if _OTHER_SPACE(text):
+            pieces = self._cut(text)
+            if pieces is None:
                 whole.append(i)
                 continue
-            pieces = (_AT_SPACE if _MAY_JOIN(text) else _AT_SPACE_AND_MARKS)(text)
             got = list(map(known.get, pieces))
-            if None in got:
-                parts[i] = pieces, got
-                new.update([p for p, ids in zip(pieces, got) if ids is None])
+            missing, at = [], -1
+            try:
+                while True:
+                    at = got.index(None, at + 1)
+                    missing.append(at)
+            except ValueError:
+                pass
+            if missing:
+                missing = [(at, pieces[at]) for at in missing]
+                new.update([p for _, p in missing])
+                parts.append((i, got, missing))
             else:
                 out[i] = b"".join(got)
-        here = {p: older[p] for p in new if p in older}
-        new = [p for p in new if p not in here]
-        here.update(zip(new, self._library(new)))
-        for i, (pieces, got) in parts.items():
-            out[i] = b"".join([here[p] if ids is None else ids for p, ids in zip(pieces, got)])
-        known.update((p, ids) for p, ids in here.items() if len(p) <= KEPT_LENGTH)
+        here = self._new(new)
+        for i, got, missing in parts:
+            for at, p in missing:
+                got[at] = here[p]
+            out[i] = b"".join(got)
+        known.update((p, ids) for p, ids in here.items() if len(p) <= KEPT_LENGTH and (p[:1] != "\n" or p == "\n"))
         for i, ids in zip(whole, self._library([texts[i] for i in whole])):
             out[i] = ids
         return out
 
 
+_encoders: dict[str, PieceEncoder] = {}
+
+
+def encoder(name: str) -> PieceEncoder:
+    """The worker's encoder of a public vocabulary file; the next tasks of the
+    same worker find the pieces it has met."""
+    if name not in _encoders:
+        _encoders.clear()
+        _encoders[name] = PieceEncoder(tokenizer_file(name))
+    return _encoders[name]
+
+
 def tokenizer_file(name: str) -> str:
     """Place of a public vocabulary file, looked up where the task runs."""
     import public_tokenizers
