@@ -42,7 +42,6 @@ def _literal_to_json(s: pd.Series) -> pd.Series:
     return s.map(conv)
 
 
-_OUTSIDE_QUOTES = r"(?=(?:[^']*'[^']*')*[^']*$)"
 _TOKENS = (("None", "null"), ("True", "true"), ("False", "false"))
 
 
@@ -50,12 +49,17 @@ def strict_text(c) -> Column:
     """Exact JSON text for a Python literal (NULL if it is not one)."""
     x = as_col(c)
     simple = ~x.rlike(r"[\"\\()]|\b(nan|inf)\b")
-    fast = x
-    for word, js in _TOKENS:
-        fast = F.regexp_replace(fast, r"\b" + word + r"\b" + _OUTSIDE_QUOTES, js)
-    fast = F.replace(fast, F.lit("'"), F.lit('"'))
-    return F.when(x.isNull(), F.lit(None).cast("string")).when(simple, fast).otherwise(
-        _literal_to_json(x))
+
+    def rewritten(part: Column, i: Column) -> Column:  # every second part lies outside quotes
+        out = part
+        for word, js in _TOKENS:
+            out = F.regexp_replace(out, r"\b" + word + r"\b", js)
+        return F.when(i % 2 == 0, out).otherwise(part)
+
+    fast = F.array_join(F.transform(F.split(x, "'"), rewritten), '"')
+    # Spark runs a Python function on every row: simple ones reach it as NULL
+    hard = _literal_to_json(F.when(~simple, x))
+    return F.when(simple, fast).otherwise(hard)
 
 
 def pydict_to_json(c, mode: str = "compat") -> Column:

@@ -74,7 +74,8 @@ def yoy_join(df: DataFrame, partition: str, date_col: str, columns: dict[str, st
     windows, so there is no join and no second pass over the input."""
     day = F.unix_date(F.col(date_col).cast("date"))
     w = Window.partitionBy(partition).orderBy(day).rangeBetween(-shift_days, -shift_days)
-    return df.withColumns({dst: F.first(F.col(src)).over(w) for src, dst in columns.items()})
+    dated = F.col(date_col).isNotNull()  # a row without a date has no earlier one
+    return df.withColumns({dst: F.when(dated, F.first(F.col(src)).over(w)) for src, dst in columns.items()})
 
 
 def crossover(df: DataFrame, fast: str, slow: str, partition: str, order: str,

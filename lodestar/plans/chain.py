@@ -17,11 +17,6 @@ SERIES_METRICS = ["met_listings_count", "met_price_avg", "met_price_median",
                   "met_price_per_sqft_avg", "met_price_per_sqft_median"]
 
 
-def facts_for_series(listings: DataFrame, as_of) -> DataFrame:
-    """Only the flags and ratios the series needs (no spatial comps)."""
-    return add_fact_metrics(add_fact_flags(listings, as_of), as_of)
-
-
 def series_base(facts: DataFrame, *, segment_col: str = "is_target",
                 date_col: str = "dim_collected_date",
                 accuracy: int = S.DEFAULT_ACCURACY) -> DataFrame:
@@ -94,14 +89,14 @@ def run_chain(spark, raw_dir: str, warehouse: str, as_of, *, target_zip: str,
     day = "dim_collected_date"
 
     base_t = spark.read.parquet(base_p) if table_exists(spark, base_p) else None
-    mark = base_t.agg(F.max(day)).first()[0] if base_t is not None else None
-    raw = read_snapshots(spark, raw_dir, after=mark.strftime("%Y%m%d") if mark else None)
+    raw = read_snapshots(spark, raw_dir)
+    # a first load keeps every row, also those without a readable date; later
+    # loads take rows newer than the mark, which leaves undated rows out
     new_raw = after_mark(raw, parse_date("collected_date"), base_t, day)
-    append_partitions(typed_projection(new_raw, BASE_SPEC).where(F.col(day).isNotNull()), base_p, day)
+    append_partitions(typed_projection(new_raw, BASE_SPEC), base_p, day)
     base = spark.read.parquet(base_p)
 
     fact_t = spark.read.parquet(fact_p) if table_exists(spark, fact_p) else None
-    fact_mark = fact_t.agg(F.max(day)).first()[0] if fact_t is not None else None
     new_base = after_mark(base, day, fact_t, day)
     f = add_fact_metrics(add_target_flag(add_fact_flags(new_base, as_of), as_of, zip_value=target_zip,
                                          centre_lon=centre_lon, centre_lat=centre_lat,
@@ -139,14 +134,17 @@ def run_chain(spark, raw_dir: str, warehouse: str, as_of, *, target_zip: str,
                     f"upper_bound_{m}": f"{m}_upper_bound", f"anomaly_prob_{m}": f"{m}_anomaly_probability"})
     wide = wide.select(*SERIES_KEYS, *[F.col(a).alias(b) for a, b in ren.items()])
     anomalies = rebuild_table(series.join(wide, SERIES_KEYS, "left"), f"{warehouse}/anomalies")
-    # Latest state: new facts carry newer dates than every stored row, so
-    # latest(stored latest + new facts) is exact; the cost follows the
-    # number of ids and the new rows, not the history.  The result is
-    # checkpointed before it replaces the table it was read from.
+    # Latest state: facts newer than the table's own mark are those it has not
+    # seen (its newest date is the newest fact it was built from), so
+    # latest(stored latest + newer facts) is exact, also after a run that
+    # stopped between the two tables; without a table all facts count.  The
+    # result is checkpointed before it replaces the table it was read from.
     latest_p = f"{warehouse}/latest"
-    new_facts = fact if fact_mark is None else fact.where(F.col(day) > F.lit(fact_mark))
-    src = new_facts
+    src = fact
     if table_exists(spark, latest_p):
-        src = spark.read.parquet(latest_p).unionByName(new_facts)
+        stored = spark.read.parquet(latest_p)
+        seen = stored.agg(F.max(day)).first()[0]
+        if seen is not None:
+            src = stored.unionByName(fact.where(F.col(day) > F.lit(seen)))
     latest = rebuild_table(materialize(latest_per_key(src, "id", [day, "mls_number"])), latest_p)
     return {"base": base, "fact": fact, "series": series, "anomalies": anomalies, "latest": latest}

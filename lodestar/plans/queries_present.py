@@ -119,13 +119,13 @@ def distinct_dates(spark, sf_dir):
 
 @register("inventory_by_ratio", O.with_(*LIST_CHAIN, select="""
   SELECT id, listing_key, met_price, met_price_vs_comps_ratio, info_street1, dim_listed_date
-  FROM latest ORDER BY met_price_vs_comps_ratio ASC NULLS LAST, listing_key LIMIT 100"""))
+  FROM latest ORDER BY met_price_vs_comps_ratio ASC NULLS LAST, listing_key"""))
 def inventory_by_ratio(spark, sf_dir):
-    """the 100 listings priced lowest against their comps, missing
-    ratios last (a top-n report)."""
+    """the whole inventory, priced lowest against its comps first,
+    missing ratios last."""
     l = latest_listings(spark, sf_dir).select("id", "listing_key", "met_price", "met_price_vs_comps_ratio",
                                               "info_street1", "dim_listed_date")
-    return P.inventory_by_ratio(l, tie_break=["listing_key"], n=100)
+    return P.inventory_by_ratio(l, tie_break=["listing_key"])
 
 
 @register("latest_trend_row", O.with_(*TREND_CHAIN, select="""

@@ -14,7 +14,6 @@ import csv
 import io
 from functools import reduce
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -39,41 +38,18 @@ def write_snapshot(df: DataFrame, path: str, *, partition_col: str | None = None
     return True
 
 
-def _header_lines(it):
-    import pyarrow.fs as pafs
-    for pdf in it:
-        out = []
-        for p in pdf["path"]:
-            fs, rel = pafs.FileSystem.from_uri(p)
-            buf = b""
-            with fs.open_input_stream(rel) as f:
-                while b"\n" not in buf:          # the whole first line, however long
-                    chunk = f.read(1 << 16)
-                    if not chunk:
-                        break
-                    buf += chunk
-            first = buf.split(b"\n", 1)[0].rstrip(b"\r").decode("utf-8", "replace")
-            out.append(first)
-        yield pd.DataFrame({"path": pdf["path"], "header": out})
-
-
 def read_snapshots(spark: SparkSession, path: str, glob: str = "*.csv",
-                   recursive: bool = True, after: str | None = None) -> DataFrame:
+                   recursive: bool = True) -> DataFrame:
     """All CSV files below ``path``, columns matched by header name, every
     value as text (no inference: leading zeros are kept).
 
-    ``after`` (yyyyMMdd) prunes at listing time: a file whose path carries
-    a load date (a whole path segment) that is not later is skipped, so an
-    incremental run does not re-read the history.  Files without a date in
-    their path are always read; the row-level mark stays the exact rule."""
+    No file is left out by its path: rows carry their own load stamp, and an
+    incremental run compares that with the target's mark."""
     files = (spark.read.format("binaryFile").option("pathGlobFilter", glob)
-             .option("recursiveFileLookup", str(recursive).lower()).load(path).select("path"))
-    if after:
-        # the last path segment that is exactly a date: a folder YYYYMMDD or
-        # key=YYYYMMDD, or a file YYYYMMDD.csv (never digits inside a name)
-        load_day = F.regexp_extract("path", r".*[/=](\d{8})(?:\.csv)?(?=/|$)", 1)
-        files = files.where((load_day == "") | (load_day > F.lit(after)))
-    heads = files.mapInPandas(_header_lines, "path string, header string")
+             .option("recursiveFileLookup", str(recursive).lower()).load(path))
+    # the first line, read by Spark itself: any store and any path will do
+    first = F.substring_index(F.decode("content", "UTF-8"), "\n", 1)
+    heads = files.select("path", F.rtrim(first, F.lit("\r")).alias("header"))
     groups = heads.groupBy("header").agg(F.sort_array(F.collect_list("path")).alias("paths"))
     parts = []
     for row in groups.toLocalIterator():

@@ -42,12 +42,12 @@ def after_mark(source: DataFrame, source_col: str | Column, target: DataFrame |
 
 def incremental_append(spark: SparkSession, source: DataFrame, path: str, date_col: str) -> None:
     """Append the rows of ``source`` newer than the table at ``path`` into
-    date folders (one pass over the source; nothing is counted first)."""
+    date folders (one pass over the source; nothing is counted first).  A
+    first load keeps every row, also those without a date."""
     target = spark.read.parquet(path) if table_exists(spark, path) else None
     if target is not None and not target.columns:
         target = None
     new = after_mark(source, date_col, target, date_col)
-    new = new.where(F.col(date_col).isNotNull())
     append_partitions(new, path, date_col)
 
 

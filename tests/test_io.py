@@ -109,16 +109,21 @@ def test_paged_source_request_params(spark):
     assert sorted(r.id for r in df.collect()) == [1, 3, 5, 7]
 
 
-def test_read_snapshots_prunes_loads_by_date(spark, scratch):
-    base = scratch("loads")
-    for day, ids in (("20240101", ["1"]), ("20240108", ["2"]), ("undated", ["3"]),
-                     ("load_date=20240115", ["4"])):
-        csvio.write_snapshot(spark.createDataFrame([(i,) for i in ids], "id string"), f"{base}/{day}")
-    # digits inside a file name are not a load date
-    import shutil
-    os_path = base.replace("file:", "")
-    src = next(p for p in __import__("glob").glob(f"{os_path}/undated/*.csv"))
-    shutil.copy(src, f"{os_path}/undated/part-00001-12345678-abcd.csv")
-    got = sorted(r.id for r in csvio.read_snapshots(spark, base, after="20240101").collect())
-    assert got == ["2", "3", "3", "4"]
-    assert sorted(r.id for r in csvio.read_snapshots(spark, base).collect()) == ["1", "2", "3", "3", "4"]
+def test_read_snapshots_reads_every_folder(spark, scratch):
+    """No path, dated above the root or in a key=value folder, hides a file."""
+    base = scratch("20200101") + "/raw"
+    for day, ids in (("20240101", "1"), ("undated", "2"), ("account=10000001", "3"), ("with space", "4")):
+        spark.createDataFrame([(ids,)], "id string").coalesce(1).write.options(**csvio.WRITE_OPTIONS).csv(f"{base}/{day}")
+    assert sorted(r.id for r in csvio.read_snapshots(spark, base).collect()) == ["1", "2", "3", "4"]
+
+
+def test_strict_repair_is_linear_and_python_sees_hard_rows_only(spark):
+    from pyspark.sql import functions as F
+    from lodestar.functions.jsonish import strict_text
+    long = "{" + ", ".join(f"'k{i}': None" for i in range(100_000)) + "}"
+    df = spark.createDataFrame([(long,), ("{'a': True}",), (None,), ('{"it\'s": 1}',)], "s string")
+    got = [r.j for r in df.select(strict_text(F.col("s")).alias("j")).collect()]
+    assert got[0] == long.replace("'", '"').replace("None", "null")
+    assert got[1:] == ['{"a": true}', None, '{"it\'s": 1}']
+    plan = df.select(strict_text(F.col("s")).alias("j"))._jdf.queryExecution().optimizedPlan().toString()
+    assert "_literal_to_json(CASE WHEN" in plan

@@ -138,10 +138,12 @@ def test_crossover_strict_and_first_row(spark):
 
 
 def test_yoy_join_exact_shift(spark):
-    rows = [("a", dt.date(2023, 12, 31), 1.0), ("a", dt.date(2024, 12, 29), 2.0), ("a", dt.date(2024, 12, 22), 3.0)]
+    rows = [("a", dt.date(2023, 12, 31), 1.0), ("a", dt.date(2024, 12, 29), 2.0), ("a", dt.date(2024, 12, 22), 3.0),
+            ("a", None, 7.0)]
     df = spark.createDataFrame(rows, "seg string, d date, v double")
     got = {r.d: r.prior for r in S.yoy_join(df, "seg", "d", {"v": "prior"}).collect()}
     assert got[dt.date(2024, 12, 29)] == 1.0 and got[dt.date(2024, 12, 22)] is None
+    assert got[None] is None
 
 
 def test_latest_per_key(spark):
