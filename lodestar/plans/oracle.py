@@ -66,7 +66,7 @@ def ts_cte(segment: str = "is_urgent") -> str:
 
 
 def _ma(n: int) -> str:
-    w = f"(PARTITION BY is_target_segment ORDER BY dim_collected_date ROWS BETWEEN {n - 1} PRECEDING AND CURRENT ROW)"
+    w = f"(PARTITION BY is_target_segment ORDER BY dim_collected_date NULLS FIRST ROWS BETWEEN {n - 1} PRECEDING AND CURRENT ROW)"
     return f"CAST(sum(met_price_median) OVER {w} AS DOUBLE) / count(met_price_median) OVER {w}"
 
 
@@ -86,7 +86,7 @@ YOY = """yoy AS (
     ON m.is_target_segment = p.is_target_segment
    AND p.dim_collected_date = CAST(m.dim_collected_date - INTERVAL 364 DAY AS DATE))"""
 
-_W = "OVER (PARTITION BY is_target_segment ORDER BY dim_collected_date)"
+_W = "OVER (PARTITION BY is_target_segment ORDER BY dim_collected_date NULLS FIRST)"
 
 SERIES = f"""series AS (
   SELECT dim_collected_date, is_target_segment,
@@ -117,7 +117,7 @@ LONG = "long AS (\n  SELECT * FROM (SELECT dim_collected_date, is_target_segment
     f"CAST({m} AS DOUBLE) AS {m}" for m in METRICS) + """ FROM series_r)
   UNPIVOT (met_metric_value FOR dim_metric_name IN (""" + ", ".join(METRICS) + ")))"
 
-_WID = "(PARTITION BY is_target_segment, dim_metric_name ORDER BY dim_collected_date)"
+_WID = "(PARTITION BY is_target_segment, dim_metric_name ORDER BY dim_collected_date NULLS FIRST)"
 _IDS = "is_target_segment, dim_metric_name"
 
 FIT = [f"""lx AS (
@@ -166,7 +166,7 @@ DETECT = [f"""dx AS (
     SELECT *, CASE WHEN p = 1 THEN intercept + phi * z1 ELSE intercept END AS fz FROM (
       SELECT lx.*, pr.d, pr.p, pr.intercept, pr.phi, pr.sigma,
         lag(CASE WHEN pr.d = 1 THEN lx.dy ELSE lx.met_metric_value END, 1) OVER
-          (PARTITION BY lx.is_target_segment, lx.dim_metric_name ORDER BY lx.dim_collected_date) AS z1
+          (PARTITION BY lx.is_target_segment, lx.dim_metric_name ORDER BY lx.dim_collected_date NULLS FIRST) AS z1
       FROM lx LEFT JOIN params pr USING ({_IDS}))))""",
           f"""det AS (
   SELECT {_IDS}, dim_collected_date, met_metric_value,
