@@ -42,6 +42,7 @@ def small(batches, rows: int = 512):
     for batch in batches:
         for lo in range(0, batch.num_rows, rows):
             yield batch.slice(lo, rows)
+    pa.default_memory_pool().release_unused()
 
 
 def table_path(sf_dir: str, name: str) -> str:

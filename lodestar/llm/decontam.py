@@ -22,6 +22,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import small
+
 
 SIMILARITY = 0.8  # least 1 - edits / words of the item
 SAMPLED = 3  # places of the embedding that a signature holds
@@ -289,7 +291,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, text: str = "text", kee
             struct = pa.struct([("item_id", names.type), *((k, pa.int32()) for k in (
                 "distance", "item_words", "word_start", "n_words"))])
             names = names.to_pylist()
-            for batch in batches:
+            for batch in small(batches, 2048):
                 split, group, size = [], [], 0
                 for t in batch.column(1).to_pylist():
                     group.append(words_in(t.lower()))

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import crc_mod, cut
+from .common import crc_mod, cut, small
 
 ORDER = 4
 SAMPLE_DOCS = 1000  # different labelled texts of a language that a model learns from, at most
@@ -301,13 +301,11 @@ def identify(docs: DataFrame, model: Identifier, text: str = "text", keep: tuple
         m = held.value
         scorer = Scorer(m.models)
         names = np.array([*m.models.langs, "und"], object)
-        for batch in batches:
-            for lo in range(0, batch.num_rows, 256):
-                part = batch.slice(lo, 256)
-                best, score, h, out = m.judge(*scorer.texts(part.column(1).to_pylist()))
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(names[best], pa.string()), pa.array(score), pa.array(h), pa.array(out)],
-                    ["keep", "lang_pred", "score", "cross_entropy", "rejected"])
+        for part in small(batches, 256):
+            best, score, h, out = m.judge(*scorer.texts(part.column(1).to_pylist()))
+            yield pa.RecordBatch.from_arrays(
+                [part.column(0), pa.array(names[best], pa.string()), pa.array(score), pa.array(h), pa.array(out)],
+                ["keep", "lang_pred", "score", "cross_entropy", "rejected"])
 
     kind = rows.schema["keep"].dataType.simpleString()
     return rows.mapInArrow(run, f"keep {kind}, lang_pred string, score double, cross_entropy double, rejected boolean") \

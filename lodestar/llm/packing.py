@@ -22,6 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import small
 from .tokens import encoder
 
 TIERS = (1024, 512, 256, 128)
@@ -153,7 +154,7 @@ def pack(docs: DataFrame, text: str = "text", key: str = "doc_id", tokenizer: st
             return pa.RecordBatch.from_arrays(arrays, names)
 
         id_type, fresh, held = [pa.int64()], 0, []
-        for batch in batches:
+        for batch in small(batches):
             id_type[0] = batch.column(0).type
             names, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             for lo in range(0, len(texts), 256):

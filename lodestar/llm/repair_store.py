@@ -25,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import ints
+from .common import ints, small
 from .tokens import encoder
 
 SHARD_IDS = 1 << 20
@@ -187,7 +187,7 @@ def write_ids(docs: DataFrame, path: str, text: str = "text", key: str = "doc_id
                  pa.array([names], pa.list_(kind)), pa.array([[len(x) // 4 for x in coded]], pa.list_(pa.int32())),
                  pa.array([compress(ids)], pa.binary())], ["part", "start", "n_ids", "doc_id", "n_tokens", "shard"])
 
-        for batch in batches:
+        for batch in small(batches):
             kind = batch.column(0).type
             keys, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             for lo in range(0, len(texts), 256):

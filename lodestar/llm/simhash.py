@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, utf8
+from .common import cut, small, utf8
 from .components import components
 
 SHINGLE = 4
@@ -55,7 +55,7 @@ def fingerprints(docs: DataFrame, text: str, keep: tuple[str, ...], words: int)
     rows = docs.select(F.struct(*[F.col(c) for c in keep]).alias("keep"), utf8(text).alias("t"))
 
     def run(batches):
-        for batch in batches:
+        for batch in small(batches):
             got = np.array([fingerprint(t, words) for t in batch.column(1).to_pylist()], np.uint64)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(got.view(np.int64))], ["keep", "fp"])
 

@@ -28,7 +28,7 @@ _AT_SPACE_AND_MARKS = re.compile(r"[ \n]*[^\W_]+|[ \n]*[^ \n]+|[ \n]+").findall
 _OTHER_SPACE = re.compile(r"[^\S \n]").search
 _MAY_JOIN = re.compile("[\u0130\u0300-\U0010ffff]").search
 _ODD_ASCII_SPACE = "\t\r\x0b\x0c\x1c\x1d\x1e\x1f"
-KEPT_PIECES = 800_000  # in each of two generations
+KEPT_PIECES = 500_000  # in each of two generations
 KEPT_LENGTH = 48
 TOGETHER = 1024  # new pieces that go to the library in one text
 
