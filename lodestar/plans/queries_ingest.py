@@ -239,14 +239,27 @@ _ORDER_DDL = ("o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_tota
 
 @register("paged_source", "SELECT * FROM orders")
 def paged_source(spark, sf_dir):
-    """A1-A3: one input partition per key, pages of 500 until a short page;
+    """A1-A3: two input partitions per key, pages of 500 until a short page;
     pages cut from the orders table."""
+    return _paged_orders(spark, sf_dir, "paged_orders")
+
+
+@register("paged_source_filtered", """SELECT * FROM orders
+  WHERE o_orderstatus = 'F' AND o_orderpriority IN ('1-URGENT', '5-LOW')""")
+def paged_source_filtered(spark, sf_dir):
+    """A2: a fixed request filter applied where the pages are read, and a
+    filter on the key column."""
+    return _paged_orders(spark, sf_dir, "paged_orders_filtered", params={"o_orderstatus": "F"}) \
+        .where(F.col("o_orderpriority").isin("1-URGENT", "5-LOW"))
+
+
+def _paged_orders(spark, sf_dir, name, params=None):
     keys = sorted(r[0] for r in table(spark, sf_dir, "orders")
                   .select("o_orderpriority").distinct().collect())
     cols = [c.split()[0] for c in _ORDER_DDL.split(", ")]
     fetch = ParquetPages(f"{sf_dir}/orders.parquet", "o_orderpriority", cols, "o_orderkey")
     return paged_source_fn(spark, fetch, keys, _ORDER_DDL, key_column="o_orderpriority",
-                           name="paged_orders")
+                           name=name, strides=2, params=params)
 
 
 @register("table_rebuild", O.with_(*O.FACT_CHAIN, select="""

@@ -1,11 +1,12 @@
 """Paged, keyed source as a Python DataSource (A1-A3).
 
-Planning happens on the driver: one input partition per key.  Each task
-pages through its key with the injected ``fetch(key, offset, limit)``
-until a page is empty or shorter than ``limit``; pages and keys form a bag
-union (no dedup).  Equality filters on the key column are pushed into the
-reader and drop whole partitions.  A failed task is retried by Spark
-from its key, so an executor loss costs one key's pages.
+Planning happens on the driver: ``strides`` input partitions per key, so that
+several tasks read a large key.  Task s of n takes pages s, s + n, s + 2n, ...
+of its key with the injected ``fetch(key, offset, limit)`` until a page is
+empty or shorter than ``limit``; pages and keys form a bag union (no dedup).
+Equality filters on the key column are pushed into the reader and drop whole
+keys.  A failed task is retried by Spark from its first page, so an executor
+loss costs one stride's pages.
 """
 
 from __future__ import annotations
@@ -19,9 +20,9 @@ PAGE_LIMIT = 500
 
 
 class KeyPartition(InputPartition):
-    def __init__(self, key):
-        super().__init__(key)
-        self.key = key
+    def __init__(self, key, stride: int = 0):
+        super().__init__((key, stride))
+        self.key, self.stride = key, stride
 
 
 class _PagedReader(DataSourceReader):
@@ -30,11 +31,12 @@ class _PagedReader(DataSourceReader):
         self.keys = list(src.keys)
 
     def partitions(self):
-        return [KeyPartition(k) for k in self.keys]
+        return [KeyPartition(k, s) for k in self.keys for s in range(self.src.strides)]
 
     def read(self, partition: KeyPartition):
         names = [f.name for f in self.schema.fields]
-        offset, limit = 0, self.src.limit
+        limit = self.src.limit
+        offset = partition.stride * limit
         while True:
             page = self.src.fetch(partition.key, offset, limit, **self.src.params)
             if not page:
@@ -43,7 +45,7 @@ class _PagedReader(DataSourceReader):
                 yield tuple(rec.get(n) for n in names)
             if len(page) < limit:
                 break
-            offset += limit
+            offset += limit * self.src.strides
 
 
 class _PushdownPagedReader(_PagedReader):
@@ -69,6 +71,7 @@ class PagedSource(DataSource):
     ddl: str = ""
     key_column: str | None = None
     limit: int = PAGE_LIMIT
+    strides: int = 1
     pushdown: bool = False
     params: dict = {}
 
@@ -85,16 +88,16 @@ class PagedSource(DataSource):
 
 def paged_source(spark: SparkSession, fetch: Callable, keys: list, ddl: str, *,
                  key_column: str | None = None, limit: int = PAGE_LIMIT, name: str = "paged",
-                 params: dict | None = None):
+                 strides: int = 1, params: dict | None = None):
     """A DataFrame over a paged API.  ``fetch(key, offset, limit, **params)``
     returns a list of dicts (a page); ``params`` are fixed request filters
     applied at the source (e.g. a property type); ``ddl`` is the record
-    schema."""
+    schema; ``strides`` tasks share the pages of a key."""
     pushdown = (key_column is not None and str(spark.conf.get(
         "spark.sql.python.filterPushdown.enabled", "false")).lower() == "true")
     cls = type(f"PagedSource_{name}", (PagedSource,),
                {"fetch": staticmethod(fetch), "keys": list(keys), "ddl": ddl,
-                "key_column": key_column, "limit": int(limit), "_name": name,
+                "key_column": key_column, "limit": int(limit), "strides": int(strides), "_name": name,
                 "pushdown": pushdown, "params": dict(params or {})})
     spark.dataSource.register(cls)
     return spark.read.format(name).load()
@@ -102,21 +105,18 @@ def paged_source(spark: SparkSession, fetch: Callable, keys: list, ddl: str, *,
 
 class ParquetPages:
     """A ``fetch`` that serves pages of one key from a parquet table (used to
-    exercise the source on the test tables).  Each worker reads the key's
-    rows once and slices pages from them."""
+    exercise the source on the test tables).  Each task reads the key's rows
+    once as an Arrow table; only a page at a time becomes Python objects.
+    Equality ``params`` filter the rows where they are read."""
 
     def __init__(self, path: str, key_column: str, columns: list[str], order_by: str):
         self.path, self.key_column, self.columns, self.order_by = path, key_column, columns, order_by
-        self._cache = {}
+        self._cache = (None, None)
 
     def __call__(self, key, offset: int, limit: int, **params):
-        rows = self._cache.get(key)
-        if rows is None:
-            import pyarrow.compute as pc
+        wanted = {self.key_column: key} | params
+        if self._cache[0] != wanted:
             import pyarrow.parquet as pq
-            t = pq.read_table(self.path, columns=self.columns,
-                              filters=[(self.key_column, "=", key)])
-            t = t.take(pc.sort_indices(t, sort_keys=[(self.order_by, "ascending")]))
-            rows = t.to_pylist()
-            self._cache = {key: rows}
-        return rows[offset:offset + limit]
+            t = pq.read_table(self.path, columns=self.columns, filters=[(c, "=", v) for c, v in wanted.items()])
+            self._cache = (wanted, t.sort_by(self.order_by))
+        return self._cache[1].slice(offset, limit).to_pylist()

@@ -45,6 +45,18 @@ def test_paged_source_pages_and_stops(spark):
     assert got == sorted([("k1", i) for i in range(7)] + [("k2", 100)])
 
 
+def test_paged_source_strides_read_each_page_once(spark):
+    sizes = {"k1": 0, "k2": 1, "k3": 6, "k4": 7, "k5": 20}
+
+    def fetch(key, offset, limit):
+        return [{"id": i, "key": key} for i in range(sizes[key])][offset:offset + limit]
+
+    df = paged_source(spark, fetch, list(sizes), "id long, key string", limit=3, strides=4, name="paged_strides")
+    assert df.rdd.getNumPartitions() == 20
+    got = sorted((r.key, r.id) for r in df.collect())
+    assert got == [(k, i) for k, n in sizes.items() for i in range(n)]
+
+
 def _facts(spark):
     rows = [(i, dt.date(2024, 1, 7) + dt.timedelta(days=7 * (i % 6)), i * 10) for i in range(60)]
     return spark.createDataFrame(rows, "k long, d date, v long")
