@@ -164,6 +164,17 @@ def test_viterbi_equals_all_readings():
         assert toxicity.decode(text, m) == best[1]
 
 
+def test_long_token_search_equals_pattern():
+    import random
+    words, rng = ["bad", "oxo", "sass"], random.Random(3)
+    pattern, linear = toxicity.spelling(words), toxicity.Spelled(words)
+    for _ in range(3000):
+        token = "".join(rng.choice("bados54@0*x._!1") for _ in range(rng.randint(0, 9)))
+        assert linear.search(token) == bool(pattern.search(token)), token
+    assert not toxicity.Spelled([]).search("abc")
+    assert not linear.search("x" * 100_000) and linear.search("x" * 100_000 + "b-a.d")
+
+
 def test_toxic_odd_and_empty(spark, odd_docs, no_docs, toxic_model):
     assert toxicity.score(odd_docs, toxic_model, keep=("doc_id", "keep"), restored=False).count() == 9
     labels = spark.createDataFrame([], "doc_id long, toxic int")
