@@ -175,6 +175,29 @@ def test_long_token_search_equals_pattern():
     assert not linear.search("x" * 100_000) and linear.search("x" * 100_000 + "b-a.d")
 
 
+def test_long_spaced_runs_end(toxic_model):
+    import random
+    import time
+    rng, start = random.Random(5), time.monotonic()
+    assert toxic_model.marks(" ".join(rng.choice("0123456789") for _ in range(100_000))) == set()
+    assert toxic_model.marks("1 0 " * 50_000) == set()
+    assert time.monotonic() - start < 60
+
+
+def test_decode_goes_on_over_piece_borders(toxic_model, monkeypatch):
+    import random
+    model, rng = toxic_model.restorer.model, random.Random(7)
+    for border in (256, 512):
+        for at in range(border - 14, border + 4, 2):
+            assert "idiot" in toxic_model.restorer.text("z " * (at // 2) + "i d i o t" + " z" * 200), at
+    texts = ["".join(rng.choice("idots10.* @") for _ in range(60)) for _ in range(20)]
+    monkeypatch.setattr(toxicity, "PIECE", 1 << 30)
+    whole = [toxicity.decode(t, model) for t in texts]
+    for size in (1, 7, 16):
+        monkeypatch.setattr(toxicity, "PIECE", size)
+        assert [toxicity.decode(t, model) for t in texts] == whole
+
+
 def test_toxic_odd_and_empty(spark, odd_docs, no_docs, toxic_model):
     assert toxicity.score(odd_docs, toxic_model, keep=("doc_id", "keep"), restored=False).count() == 9
     labels = spark.createDataFrame([], "doc_id long, toxic int")
