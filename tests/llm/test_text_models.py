@@ -198,6 +198,18 @@ def test_decode_goes_on_over_piece_borders(toxic_model, monkeypatch):
         assert [toxicity.decode(t, model) for t in texts] == whole
 
 
+@pytest.mark.parametrize("text", ["you are an i d i o t.", "i d i o t, ok", '"i d i o t" he', "an (i d i o t)!", "_i d i o t_",
+                                  "i  d  i  o  t", "i\td\ti\to\tt", "i d\n\ni\r\no t", "i\u00a0d\u00a0i\u00a0o\u00a0t", "i, d, i, o, t"])
+def test_spaced_words_beside_marks_and_any_white_space(toxic_model, text):
+    assert "idiot" in toxic_model.restorer.text(text).split()
+    assert "idiot" in toxic_model.marks(text)
+
+
+def test_long_runs_of_marks_end(toxic_model):
+    for text in ("-" * 100_000, "- " * 50_000 + "ab", ". -" * 30_000, "a" + " " * 100_000 + "bc", "_." * 50_000 + "ab"):
+        assert toxic_model.marks(text) == set()
+
+
 def test_toxic_odd_and_empty(spark, odd_docs, no_docs, toxic_model):
     assert toxicity.score(odd_docs, toxic_model, keep=("doc_id", "keep"), restored=False).count() == 9
     labels = spark.createDataFrame([], "doc_id long, toxic int")
