@@ -205,6 +205,17 @@ def test_spaced_words_beside_marks_and_any_white_space(toxic_model, text):
     assert "idiot" in toxic_model.marks(text)
 
 
+@pytest.mark.parametrize("text", ["idiot/moron", "idiot.You", "an-idiot", "<b>idiot</b>", "you,idiot", "idiot...moron", "idiot_no",
+                                  "1d10t/you", "an-1d10t", "you.1d10t.you"])
+def test_words_joined_by_marks(toxic_model, text):
+    assert "idiot" in toxic_model.marks(text)
+
+
+def test_mark_as_border_leaves_spelled_words(toxic_model):
+    for text, word in (("m.o.r.o.n", "moron"), ("l-o-s-e-r", "loser"), ("st.upid", "stupid"), ("i*d*i*o*t", "idiot"), ("p@th3t1c!!!", "pathetic")):
+        assert toxic_model.restorer.text(text).split() == [word]
+
+
 def test_long_runs_of_marks_end(toxic_model):
     for text in ("-" * 100_000, "- " * 50_000 + "ab", ". -" * 30_000, "a" + " " * 100_000 + "bc", "_." * 50_000 + "ab"):
         assert toxic_model.marks(text) == set()
