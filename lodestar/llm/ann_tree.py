@@ -27,6 +27,7 @@ LEAF = 64  # sample vectors of a node that is not divided further
 CALIBRATION = 200  # queries that set the number of leaves, at most
 TARGET_RECALL = 0.97
 CHUNK_ROWS = 20_000  # vectors, and queries, that meet in one group at most
+STEP_VALUES = 4_000_000  # rough distances that are held at once, at most
 
 
 def usable(column: str) -> Column:
@@ -109,15 +110,20 @@ def _nearest(queries: np.ndarray, ids: np.ndarray, points: np.ndarray, k: int):
     """(query row, id, distance) of the k nearest to each query, ties to the
     smaller id; distances from the differences themselves."""
     out = []
-    step = max(1, 4_000_000 // max(1, points.size))
-    rough = ((points ** 2).sum(1)[None, :] - 2 * queries @ points.T) if len(points) > 4 * k else None
+    step = max(1, STEP_VALUES // max(1, len(points)))
+    norms = (points ** 2).sum(1)[None, :]
     for i in range(0, len(queries), step):
+        rough = None
+        if len(points) > 4 * k:
+            rough = queries[i:i + step] @ points.T
+            rough *= -2
+            rough += norms
         for j in range(i, min(i + step, len(queries))):
             if rough is None:
                 some = np.arange(len(points))
             else:  # all that rounding could bring among the k nearest
-                limit = np.partition(rough[j], k - 1)[k - 1]
-                some = np.nonzero(rough[j] <= limit + 1e-9 * (1.0 + abs(limit) + (queries[j] ** 2).sum()))[0]
+                limit = np.partition(rough[j - i], k - 1)[k - 1]
+                some = np.nonzero(rough[j - i] <= limit + 1e-9 * (1.0 + abs(limit) + (queries[j] ** 2).sum()))[0]
             d = np.sqrt(((points[some] - queries[j]) ** 2).sum(1))
             first = np.lexsort((ids[some], d))[:k]
             out.append((np.full(len(first), j), ids[some][first], d[first]))

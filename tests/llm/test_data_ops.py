@@ -238,6 +238,22 @@ def test_store_round_trip(spark, scratch, odd_docs, no_docs):
     assert repair_store.read_ids(spark, path).count() == 0
 
 
+def test_nearest_of_a_full_group_is_bounded():
+    import tracemalloc
+    rng = np.random.default_rng(3)
+    points, queries = rng.normal(size=(20_000, 4)), rng.normal(size=(20_000, 4))
+    ids = rng.permutation(20_000)
+    tracemalloc.start()
+    q, v, d = ann_tree._nearest(queries, ids, points, 3)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 300_000_000 and len(q) == 60_000
+    for j in (0, 199, 200, 12_345, 19_999):
+        far = np.sqrt(((points - queries[j]) ** 2).sum(1))
+        first = np.lexsort((ids, far))[:3]
+        assert v[q == j].tolist() == ids[first].tolist() and d[q == j].tolist() == far[first].tolist()
+
+
 # ---- licenses ---------------------------------------------------------------
 
 def test_license_blocks_and_differences(spark, odd_docs, no_docs):
