@@ -271,6 +271,19 @@ def test_license_blocks_and_differences(spark, odd_docs, no_docs):
     assert license_scan.scan(odd_docs).count() == 0 and license_scan.scan(no_docs).count() == 0
 
 
+def test_license_templates_in_customary_line_breaks():
+    import textwrap
+    scanner = license_scan.Scanner(license_scan.TEMPLATES)
+    for name, template in license_scan.TEMPLATES.items():
+        for width in (70, 75, 80):
+            for mark in ("", "# ", " * "):
+                wrapped = textwrap.fill(template, width, initial_indent=mark, subsequent_indent=mark)
+                wrapped = wrapped.replace("conditions: The", "conditions:\n\nThe").replace("met: Re", "met:\n\nRe")
+                assert [x[1] for x in scanner.text(f"some code\n\n{wrapped}\n\nmore of it\n")] == [name], (name, width)
+    mit = license_scan.TEMPLATES["MIT text"].replace("conditions: ", "conditions:\n\n")
+    assert [x[1] for x in scanner.text(mit)] == ["MIT text"]
+
+
 def test_license_query_finds_every_line(spark):
     docs = spark.read.parquet(f"{SMALL}/documents.parquet")
     lines = docs.filter(F.col("text").rlike("(?i)license|rights reserved")).select("doc_id").distinct().count()
