@@ -284,6 +284,23 @@ def test_license_templates_in_customary_line_breaks():
     assert [x[1] for x in scanner.text(mit)] == ["MIT text"]
 
 
+def test_license_inside_paragraphs_and_side_by_side():
+    import random
+    scanner, rng = license_scan.Scanner(license_scan.TEMPLATES), random.Random(4)
+    prose = "river stone walks under morning light and sings of old houses by seas with green hills".split()
+    for name, template in license_scan.TEMPLATES.items():
+        for n in (60, 130, 2000):
+            text = " ".join(rng.choices(prose, k=n)) + ". " + template
+            ((at, got, *_),) = scanner.text(text + " " + " ".join(rng.choices(prose, k=n)))
+            assert (got, at) == (name, len(text) - len(template))
+    t = license_scan.TEMPLATES
+    for pair in (["MIT", "Apache-2.0"], ["GPL-3.0 header", "MIT text"], ["MIT", "MIT"], ["ALL RIGHTS RESERVED", "MIT"]):
+        both = "\n".join(t.get(p, p) for p in pair)
+        assert [x[1] for x in scanner.text(both)] == [p.replace("ALL RIGHTS RESERVED", "All rights reserved") for p in pair]
+    many = "\n".join([t["MIT text"], t["MIT"]] * 60)
+    assert [x[1] for x in scanner.text(many)] == ["MIT text", "MIT"] * 60
+
+
 def test_license_query_finds_every_line(spark):
     docs = spark.read.parquet(f"{SMALL}/documents.parquet")
     lines = docs.filter(F.col("text").rlike("(?i)license|rights reserved")).select("doc_id").distinct().count()
