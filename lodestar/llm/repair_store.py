@@ -17,7 +17,7 @@ from __future__ import annotations
 
 import struct
 import zlib
-from itertools import chain
+from itertools import chain, count
 
 import numpy as np
 import pyarrow as pa
@@ -29,7 +29,6 @@ from .common import ints, small
 from .tokens import encoder
 
 SHARD_IDS = 1 << 20
-ROUNDS = 3
 RULES_A_ROUND = 4000
 LEAST = 8  # occurrences that make a pair worth a rule
 END_ID = 2
@@ -53,17 +52,19 @@ def _chosen(left: np.ndarray, right: np.ndarray, counts: np.ndarray, most: int)
     return out
 
 
-def compress(ids: np.ndarray, rounds: int = ROUNDS, least: int = LEAST) -> bytes:
-    """The grammar of one shard, as laid out above."""
+def compress(ids: np.ndarray, rounds: int | None = None, least: int = LEAST) -> bytes:
+    """The grammar of one shard, as laid out above: ``rounds`` of replacement, or
+    as many as it takes until no pair occurs ``least`` times."""
     first = int(ids.max()) + 1 if len(ids) else 0
-    narrow = first + rounds * RULES_A_ROUND <= 1 << 16
-    symbol, pair, bits = (np.uint16, np.uint32, 16) if narrow else (np.uint32, np.uint64, 32)
-    x = ids.astype(symbol)
+    x = ids
     rules: list[np.ndarray] = []
     n_rules = 0
-    for _ in range(rounds):
+    for _ in count() if rounds is None else range(rounds):
         if len(x) < 2:
             break
+        narrow = first + n_rules + RULES_A_ROUND <= 1 << 16
+        symbol, pair, bits = (np.uint16, np.uint32, 16) if narrow else (np.uint32, np.uint64, 32)
+        x = x.astype(symbol, copy=n_rules == 0)
         key = (x[:-1].astype(pair) << pair(bits)) | x[1:]
         pairs = np.sort(key)
         ends = np.append(np.nonzero(pairs[1:] != pairs[:-1])[0] + 1, len(pairs))

@@ -254,6 +254,17 @@ def test_nearest_of_a_full_group_is_bounded():
         assert v[q == j].tolist() == ids[first].tolist() and d[q == j].tolist() == far[first].tolist()
 
 
+def test_grammar_leaves_no_frequent_pair():
+    rng = np.random.default_rng(9)
+    phrases = [rng.integers(0, 500, rng.integers(2, 60)) for _ in range(300)]
+    for ids in (np.concatenate([phrases[i] for i in rng.integers(0, 300, 3000)]), np.full(5000, 7),
+                np.concatenate([rng.integers(65_000, 65_400, 60_000)])):
+        shard = repair_store.Shard(repair_store.compress(ids))
+        pairs = Counter(zip(shard.symbols[:-1].tolist(), shard.symbols[1:].tolist()))
+        assert max(pairs.values(), default=0) < repair_store.LEAST
+        assert shard.decode(0, len(ids)).tolist() == ids.tolist()
+
+
 # ---- licenses ---------------------------------------------------------------
 
 def test_license_blocks_and_differences(spark, odd_docs, no_docs):
