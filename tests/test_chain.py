@@ -3,7 +3,7 @@ computation, including the spatial comps (S17)."""
 
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from sf_paths import SF_SMALL
 from lodestar.functions.casts import parse_date
 from lodestar.operators.cleanse import BASE_SPEC, typed_projection
 from lodestar.operators.spatial import add_comps_ratio
