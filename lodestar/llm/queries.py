@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 import corpus_pipeline
 from lodestar.session import scratch_path
 
-from . import ann_tree, brown_lm, chat_format, decontam, langid, license_scan, packing, repair_store, simhash, toxicity
+from . import (ann_tree, brown_lm, chat_format, decontam, langid, license_scan, packing, periodic_runs, repair_store,
+               simhash, token_counts, toxicity, whitening)
 from .common import cut, table_path
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -78,4 +79,19 @@ def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_format.read_digest(stored).drop("n_examples")
 
 
+@_register
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs.op11_query(spark.read.parquet(table_path(sf_dir, "documents")))
+
+
+@_register
+def op12_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.op12_query(spark.read.parquet(table_path(sf_dir, "documents")))
+
+
+@_register
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.op13_query(spark.read.parquet(table_path(sf_dir, "embeddings")))
+
+
 LLM_QUERIES["pipeline"] = corpus_pipeline.run
