@@ -297,7 +297,8 @@ def planted(id_col: str, text: str) -> Column:
 
     # a text of white space alone has no words and stays as it is
     due = (F.expr(f"{h} % 10") == 0) & source.rlike(r"[^\x20\x09-\x0D]")
-    return F.when(due, turned(words)).otherwise(source)
+    # as a lambda's variable the words are found once, not once a word
+    return F.when(due, F.element_at(F.transform(F.array(words), turned), 1)).otherwise(source)
 
 
 def op11_query(docs: DataFrame) -> DataFrame:
