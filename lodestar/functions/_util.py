@@ -6,3 +6,8 @@ from pyspark.sql import functions as F
 
 def as_col(c) -> Column:
     return c if isinstance(c, Column) else F.col(c)
+
+
+def q(name: str) -> str:
+    """A column name quoted for SQL text."""
+    return "`" + name.replace("`", "``") + "`"

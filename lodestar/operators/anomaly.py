@@ -1,18 +1,20 @@
-"""Per-series time-series models and anomaly bands.
-
-Level 1 (pure DataFrame ops, one model per series id):
-  * order of differencing d in {0, 1}: the smaller sample variance of the
-    series and of its first difference;
-  * AR order p in {0, 1} on the (differenced) series z by AIC
-    n ln(RSS/n) + 2k; AR(1) is a least-squares fit of z_t on z_{t-1};
-  * in-sample one-step forecast f_t, residual deviation s, band
-    f_t +- z_q s, probability P(|N(0,1)| < |e_t| / s) and
-    is_anomaly = |e_t| > z_q s (z_q: two-sided quantile of the threshold).
-The first d + p points of a series have no forecast and NULL bounds.
-
-Everything is a window or grouped aggregate partitioned by the series id,
-so many series fit in parallel; the long series is already aggregated
-(one row per week and id), so its size is independent of the fact table.
+"""Per-series models and anomaly bands (I1-I4 together).
+
+A weekly series is decomposed into level, trend, US-holiday effect, season
+and remainder (``decompose``); an ARIMA model is fitted to the remainder with
+spikes left out as gaps (``arma``); every point of the training history is
+scored against parts + one-step forecast:
+
+  band = parts + forecast +- z_q s,  s the forecast error's deviation,
+  probability = P(|N(0,1)| < |e| / s),  is_anomaly = |e| > z_q s
+
+(z_q: two-sided quantile of the threshold).  A point without a forecast (the
+first of a differenced series, or a row without a date) has NULL bounds and is
+no anomaly; with s = 0 the band is the forecast and the probability NULL.
+
+All steps are windows, aggregates and array expressions by series id, so many
+series run side by side; the long series holds one row per week and id, so its
+size does not depend on the fact table.
 """
 
 from __future__ import annotations
@@ -20,78 +22,58 @@ from __future__ import annotations
 from statistics import NormalDist
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
+from ..functions._util import q as _q
 from ..functions.stats import two_sided_probability_sql
+from .arma import fit_arma, forecast_arma
+from .decompose import decompose
 
-LOG_FLOOR = 1e-12
+PARTS = ["__level", "__trend", "__effect", "__season"]
 
 
-def _q(c: str) -> str:
-    return "`" + c.replace("`", "``") + "`"
+def _remainder(parts: DataFrame) -> DataFrame:
+    """The weekly remainder with spikes as gaps."""
+    return parts.selectExpr("*", "CASE WHEN NOT __spike THEN __rest END AS __fit")
 
 
-def _lagged(long: DataFrame, ids: list[str], ts: str, value: str) -> DataFrame:
-    """Lag 1 per series.  The input is hash-partitioned by the series id
-    once; every later window, aggregate and join on the id reuses that
-    partitioning instead of shuffling again.  Fixed arithmetic below is
-    written as SQL expressions (one driver call each)."""
-    qi, T, V = ", ".join(_q(i) for i in ids), _q(ts), _q(value)
-    return long.repartition(*ids).selectExpr(
-        *[_q(i) for i in ids], T, V,
-        f"lag({V}, 1) OVER (PARTITION BY {qi} ORDER BY {T}) AS __y1").selectExpr(
-        "*", f"{V} - __y1 AS __dy")
+def fit_series_models(long: DataFrame, ids: list[str], ts: str, value: str, *,
+                      parts: DataFrame | None = None) -> DataFrame:
+    """One row of parameters per series id: d, p, q, n, intercept, phi1, phi2,
+    theta, sigma, aic.  ``parts``: the decomposition, if it is at hand."""
+    parts = decompose(long, ids, ts, value) if parts is None else parts
+    return fit_arma(_remainder(parts), ids, "__slot", "__fit")
 
 
-def fit_series_models(long: DataFrame, ids: list[str], ts: str, value: str) -> DataFrame:
-    """One row of parameters per series id: d, p, n, intercept, phi, sigma,
-    aic_ar0, aic_ar1."""
-    qi, T, V = ", ".join(_q(i) for i in ids), _q(ts), _q(value)
-    x = _lagged(long, ids, ts, value)
-    diff = x.groupBy(*ids).agg(F.expr(
-        f"CASE WHEN var_samp(__dy) < var_samp({V}) THEN 1 ELSE 0 END AS __d"))
-    z = x.join(diff, ids).selectExpr("*", f"CASE WHEN __d = 1 THEN __dy ELSE {V} END AS __z")
-    z = z.selectExpr("*", f"lag(__z, 1) OVER (PARTITION BY {qi} ORDER BY {T}) AS __z1")
-    st = z.groupBy(*ids).agg(*[F.expr(e) for e in (
-        "first(__d) AS __d", "avg(__z) AS __mu", "count(__z) AS __n0",
-        "regr_intercept(__z, __z1) AS __a", "regr_slope(__z, __z1) AS __b",
-        "regr_count(__z, __z1) AS __n1")])
-    r = z.drop("__d").join(st, ids).groupBy(*ids).agg(*[F.expr(e) for e in (
-        "first(__d) AS __d", "first(__mu) AS __mu", "first(__n0) AS __n0", "first(__a) AS __a",
-        "first(__b) AS __b", "first(__n1) AS __n1", "sum(pow(__z - __mu, 2)) AS __rss0",
-        "sum(pow(__z - (__a + __b * __z1), 2)) AS __rss1")])
-    floor = f"{LOG_FLOOR!r}D"
-    r = r.selectExpr(
-        "*", f"__n0 * ln(greatest(__rss0 / __n0, {floor})) + 2 AS aic_ar0",
-        f"CASE WHEN __n1 >= 3 AND __b IS NOT NULL "
-        f"THEN __n1 * ln(greatest(__rss1 / __n1, {floor})) + 4 END AS aic_ar1")
-    p1 = "coalesce(aic_ar1 < aic_ar0, false)"
-    return r.selectExpr(
-        *[_q(i) for i in ids], "__d AS d", f"CASE WHEN {p1} THEN 1 ELSE 0 END AS p", "__n0 AS n",
-        f"CASE WHEN {p1} THEN __a ELSE __mu END AS intercept",
-        f"CASE WHEN {p1} THEN __b ELSE 0.0D END AS phi",
-        f"sqrt(CASE WHEN {p1} THEN __rss1 / __n1 ELSE __rss0 / __n0 END) AS sigma",
-        "aic_ar0", "aic_ar1")
+def score_weeks(parts: DataFrame, params: DataFrame, ids: list[str]) -> DataFrame:
+    """The decomposition with ``__expected`` (parts + forecast) and
+    ``__deviation`` of every week."""
+    f = forecast_arma(_remainder(parts), params, ids, "__slot", "__fit")
+    return parts.join(f, [*ids, "__slot"], "left").selectExpr(
+        "*", f"{' + '.join(PARTS)} + __forecast AS __expected")
 
 
 def detect_anomalies(long: DataFrame, params: DataFrame, ids: list[str], ts: str, value: str,
-                     threshold: float = 0.95) -> DataFrame:
-    """Score every point of the training history against its series model.
-    Adds is_anomaly, lower_bound, upper_bound, anomaly_probability."""
+                     threshold: float = 0.95, *, parts: DataFrame | None = None,
+                     components: bool = False) -> DataFrame:
+    """Score every row of the training history against its series model: adds
+    is_anomaly, lower_bound, upper_bound, anomaly_probability; with
+    ``components`` also level, trend, holiday_effect, season, is_level_shift
+    and is_spike of its week."""
     zq = NormalDist().inv_cdf((1.0 + threshold) / 2.0)
     qi, T, V = ", ".join(_q(i) for i in ids), _q(ts), _q(value)
-    pr = params.selectExpr(*[_q(i) for i in ids],
-                           *[f"{c} AS __{c}" for c in ("d", "p", "intercept", "phi", "sigma")])
-    x = _lagged(long, ids, ts, value).join(pr, ids, "left")
-    x = x.selectExpr("*", f"lag(CASE WHEN __d = 1 THEN __dy ELSE {V} END, 1) "
-                          f"OVER (PARTITION BY {qi} ORDER BY {T}) AS __z1")
-    fz = "CASE WHEN __p = 1 THEN __intercept + __phi * __z1 ELSE __intercept END"
-    x = x.selectExpr("*", f"CASE WHEN __d = 1 THEN __y1 + ({fz}) ELSE {fz} END AS __f")
-    x = x.selectExpr("*", f"{V} - __f AS __e")
-    band = f"({zq!r}D * __sigma)"
+    parts = decompose(long, ids, ts, value) if parts is None else parts
+    weeks = score_weeks(parts, params, ids).selectExpr(
+        *[_q(i) for i in ids], "__slot", "__expected", "__deviation", *PARTS, "__shift", "__spike")
+    day = f"CAST({T} AS DATE)"
+    first = f"min(CASE WHEN {V} IS NOT NULL THEN {day} END) OVER (PARTITION BY {qi})"
+    x = long.selectExpr("*", f"CAST(floor(datediff({day}, {first}) / 7) AS INT) AS __slot")
+    x = x.join(weeks, [*ids, "__slot"], "left").selectExpr("*", f"{V} - __expected AS __e")
+    band = f"({zq!r}D * __deviation)"
+    more = ["__level AS level", "__trend AS trend", "__effect AS holiday_effect", "__season AS season",
+            "coalesce(__shift, false) AS is_level_shift", "coalesce(__spike, false) AS is_spike"]
     return x.selectExpr(
         *[_q(i) for i in ids], T, V,
         f"coalesce(abs(__e) > {band}, false) AS is_anomaly",
-        f"__f - {band} AS lower_bound", f"__f + {band} AS upper_bound",
-        f"CASE WHEN __sigma > 0 THEN {two_sided_probability_sql('__e / __sigma')} END "
-        "AS anomaly_probability")
+        f"__expected - {band} AS lower_bound", f"__expected + {band} AS upper_bound",
+        f"CASE WHEN __deviation > 0 THEN {two_sided_probability_sql('__e / __deviation')} END "
+        "AS anomaly_probability", *(more if components else []))

@@ -76,6 +76,7 @@ def run_chain(spark, raw_dir: str, warehouse: str, as_of, *, target_zip: str,
     from ..functions.casts import parse_date
     from ..operators import anomaly as A
     from ..operators.cleanse import BASE_SPEC, typed_projection
+    from ..operators.decompose import decompose
     from ..operators.features import add_target_flag
     from ..operators.reshape import pivot_wide, unpivot_metrics
     from ..operators.snapshot import latest_per_key
@@ -122,8 +123,9 @@ def run_chain(spark, raw_dir: str, warehouse: str, as_of, *, target_zip: str,
     series = rebuild_table(series, f"{warehouse}/series")
     long = unpivot_metrics(series, SERIES_KEYS, SERIES_METRICS)
     ids = ["is_target_segment", "dim_metric_name"]
-    params = A.fit_series_models(long, ids, day, "met_metric_value")
-    det = A.detect_anomalies(long, params, ids, day, "met_metric_value", 0.95)
+    parts = materialize(decompose(long, ids, day, "met_metric_value"))
+    params = A.fit_series_models(long, ids, day, "met_metric_value", parts=parts)
+    det = A.detect_anomalies(long, params, ids, day, "met_metric_value", 0.95, parts=parts)
     aggs = {"is_anomaly": "is_anomaly", "lower_bound": "lower_bound",
             "upper_bound": "upper_bound", "anomaly_prob": "anomaly_probability"}
     wide = pivot_wide(det, SERIES_KEYS, "dim_metric_name", SERIES_METRICS, aggs)

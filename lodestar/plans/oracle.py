@@ -23,7 +23,7 @@ def valid_sql(lon: str, lat: str) -> str:
 
 
 def with_(*ctes: str, select: str) -> str:
-    return "WITH " + ",\n".join(ctes) + "\n" + select
+    return "WITH RECURSIVE " + ",\n".join(ctes) + "\n" + select
 
 
 LISTINGS = f"listings AS ({listings_sql()})"
@@ -104,9 +104,8 @@ SERIES_CHAIN = FACT_CHAIN + [ts_cte(), MA, YOY, SERIES]
 
 # ---- models -------------------------------------------------------------
 from ..functions.stats import AS_A, AS_P  # noqa: E402
-from statistics import NormalDist  # noqa: E402
+from . import oracle_models as M  # noqa: E402
 
-Z95 = NormalDist().inv_cdf(0.975)
 METRICS = ["met_listings_count", "met_price_avg", "met_price_median",
            "met_price_per_sqft_avg", "met_price_per_sqft_median"]
 
@@ -117,43 +116,6 @@ LONG = "long AS (\n  SELECT * FROM (SELECT dim_collected_date, is_target_segment
     f"CAST({m} AS DOUBLE) AS {m}" for m in METRICS) + """ FROM series_r)
   UNPIVOT (met_metric_value FOR dim_metric_name IN (""" + ", ".join(METRICS) + ")))"
 
-_WID = "(PARTITION BY is_target_segment, dim_metric_name ORDER BY dim_collected_date NULLS FIRST)"
-_IDS = "is_target_segment, dim_metric_name"
-
-FIT = [f"""lx AS (
-  SELECT is_target_segment, dim_metric_name, dim_collected_date, met_metric_value,
-    lag(met_metric_value, 1) OVER {_WID} AS y1,
-    met_metric_value - lag(met_metric_value, 1) OVER {_WID} AS dy
-  FROM long)""",
-       f"""dsel AS (
-  SELECT {_IDS}, CASE WHEN var_samp(dy) < var_samp(met_metric_value) THEN 1 ELSE 0 END AS d
-  FROM lx GROUP BY {_IDS})""",
-       f"""zz AS (
-  SELECT *, lag(z, 1) OVER {_WID} AS z1 FROM (
-    SELECT lx.*, dsel.d, CASE WHEN dsel.d = 1 THEN lx.dy ELSE lx.met_metric_value END AS z
-    FROM lx JOIN dsel USING ({_IDS})))""",
-       f"""st AS (
-  SELECT {_IDS}, avg(z) AS mu, count(z) AS n0, regr_intercept(z, z1) AS a,
-         regr_slope(z, z1) AS b, regr_count(z, z1) AS n1
-  FROM zz GROUP BY {_IDS})""",
-       f"""rs AS (
-  SELECT {_IDS}, sum(pow(z - mu, 2)) AS rss0, sum(pow(z - (a + b * z1), 2)) AS rss1
-  FROM zz JOIN st USING ({_IDS}) GROUP BY {_IDS})""",
-       f"""aic AS (
-  SELECT st.*, dsel.d, rs.rss0, rs.rss1,
-    n0 * ln(greatest(rss0 / n0, 1e-12)) + 2 AS aic_ar0,
-    CASE WHEN n1 >= 3 AND b IS NOT NULL THEN n1 * ln(greatest(rss1 / n1, 1e-12)) + 4 END AS aic_ar1
-  FROM st JOIN dsel USING ({_IDS}) JOIN rs USING ({_IDS}))""",
-       f"""params AS (
-  SELECT {_IDS}, d, CASE WHEN coalesce(aic_ar1 < aic_ar0, false) THEN 1 ELSE 0 END AS p,
-    n0 AS n,
-    CASE WHEN coalesce(aic_ar1 < aic_ar0, false) THEN a ELSE mu END AS intercept,
-    CASE WHEN coalesce(aic_ar1 < aic_ar0, false) THEN b ELSE 0.0 END AS phi,
-    sqrt(CASE WHEN coalesce(aic_ar1 < aic_ar0, false) THEN rss1 / n1 ELSE rss0 / n0 END) AS sigma,
-    aic_ar0, aic_ar1
-  FROM aic)"""]
-
-
 def _erf_sql(x: str) -> str:
     a1, a2, a3, a4, a5 = AS_A
     t = f"(1.0 / (1.0 + {AS_P} * {x}))"
@@ -161,20 +123,7 @@ def _erf_sql(x: str) -> str:
     return f"(1.0 - {poly} * exp(-({x} * {x})))"
 
 
-DETECT = [f"""dx AS (
-  SELECT *, CASE WHEN d = 1 THEN y1 + fz ELSE fz END AS f FROM (
-    SELECT *, CASE WHEN p = 1 THEN intercept + phi * z1 ELSE intercept END AS fz FROM (
-      SELECT lx.*, pr.d, pr.p, pr.intercept, pr.phi, pr.sigma,
-        lag(CASE WHEN pr.d = 1 THEN lx.dy ELSE lx.met_metric_value END, 1) OVER
-          (PARTITION BY lx.is_target_segment, lx.dim_metric_name ORDER BY lx.dim_collected_date NULLS FIRST) AS z1
-      FROM lx LEFT JOIN params pr USING ({_IDS}))))""",
-          f"""det AS (
-  SELECT {_IDS}, dim_collected_date, met_metric_value,
-    coalesce(abs(met_metric_value - f) > {Z95} * sigma, false) AS is_anomaly,
-    f - {Z95} * sigma AS lower_bound,
-    f + {Z95} * sigma AS upper_bound,
-    CASE WHEN sigma > 0 THEN {_erf_sql(f"(abs((met_metric_value - f) / sigma) / {2.0 ** 0.5})")} END AS anomaly_probability
-  FROM dx)"""]
+DETECT = M.detect(_erf_sql(f"({{z}} / {2.0 ** 0.5})"))
 
 PIVOT_AGGS = [("is_anomaly", "is_anomaly"), ("lower_bound", "lower_bound"),
               ("upper_bound", "upper_bound"), ("anomaly_prob", "anomaly_probability")]
@@ -197,6 +146,6 @@ WIDE = "wide AS (\n  SELECT s.*, " + ",\n    ".join(
   FROM series_r s LEFT JOIN pivoted pv
     ON s.dim_collected_date = pv.dim_collected_date AND s.is_target_segment = pv.is_target_segment)"""
 
-MODEL_CHAIN = SERIES_CHAIN + [SERIES_R, LONG] + FIT
+MODEL_CHAIN = SERIES_CHAIN + [SERIES_R, LONG] + M.FIT
 DETECT_CHAIN = MODEL_CHAIN + DETECT
 WIDE_CHAIN = DETECT_CHAIN + [PIVOT, WIDE]

@@ -312,7 +312,7 @@ def _chain_sql() -> str:
     rnd = dict(_WIDE_ROUND, met_price_per_sqft_avg=6)
     cols = [c for c in _WIDE_COLS if c != "met_price_per_sqft_avg"]
     return O.with_(RAW, base, O.FLAGS, O.TARGET, O.FACTS, O.ts_cte("is_target"), O.MA, O.YOY,
-                   O.SERIES, long_, *O.FIT, *O.DETECT, O.PIVOT, wide,
+                   O.SERIES, long_, *O.M.FIT, *O.DETECT, O.PIVOT, wide,
                    select="SELECT " + _round_sql(rnd, cols) + " FROM wide")
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..operators import anomaly as A
 from ..operators import calendar as C
+from ..operators.decompose import decompose
 from ..operators.reshape import pivot_wide, unpivot_metrics
 from . import oracle as O
 from .chain import SERIES_METRICS
@@ -36,10 +37,13 @@ def params_df(spark, sf_dir):
                                "met_metric_value")
 
 
-def detections_df(spark, sf_dir, series=None):
+def detections_df(spark, sf_dir, series=None, **options):
+    """Decomposition (checkpointed: fit and scores read it), models, scores."""
     long = long_series(spark, sf_dir, series)
-    params = A.fit_series_models(long, IDS, "dim_collected_date", "met_metric_value")
-    return A.detect_anomalies(long, params, IDS, "dim_collected_date", "met_metric_value", 0.95)
+    parts = materialize(decompose(long, IDS, "dim_collected_date", "met_metric_value"))
+    params = A.fit_series_models(long, IDS, "dim_collected_date", "met_metric_value", parts=parts)
+    return A.detect_anomalies(long, params, IDS, "dim_collected_date", "met_metric_value", 0.95,
+                              parts=parts, **options)
 
 
 PIVOT_AGGS = {alias: src for alias, src in O.PIVOT_AGGS}
@@ -65,16 +69,15 @@ def unpivot_metrics_q(spark, sf_dir):
     return unpivot_metrics(market_series_df(spark, sf_dir), KEYS, SERIES_METRICS)
 
 
-@register("arima_fit", O.with_(*O.MODEL_CHAIN, select="""
-  SELECT is_target_segment, dim_metric_name, d, p, n, round(intercept, 4) AS intercept,
-         round(phi, 6) AS phi, round(sigma, 4) AS sigma, round(aic_ar0, 4) AS aic_ar0,
-         round(aic_ar1, 4) AS aic_ar1 FROM params"""))
+PARAM_ROUND = {"intercept": 4, "phi1": 6, "phi2": 6, "theta": 6, "sigma": 4, "aic": 4}
+
+
+@register("arima_fit", O.with_(*O.MODEL_CHAIN, select="SELECT " + _round_sql(
+    PARAM_ROUND, ["is_target_segment", "dim_metric_name", "d", "p", "q", "n"]) + " FROM params"))
 def arima_fit(spark, sf_dir):
-    """I1 (level 1): one AR model per (segment, metric) series."""
-    p = params_df(spark, sf_dir)
-    return p.withColumns({"intercept": F.round("intercept", 4), "phi": F.round("phi", 6),
-                          "sigma": F.round("sigma", 4), "aic_ar0": F.round("aic_ar0", 4),
-                          "aic_ar1": F.round("aic_ar1", 4)})
+    """Per (segment, metric) series an ARIMA model of the remainder by
+    exact likelihood, its order by corrected AIC."""
+    return params_df(spark, sf_dir).withColumns({c: F.round(c, n) for c, n in PARAM_ROUND.items()})
 
 
 @register("anomaly_detect", O.with_(*O.DETECT_CHAIN, select="SELECT " + _round_sql(
@@ -238,9 +241,14 @@ def holiday_weeks(spark, sf_dir):
     return C.holiday_weeks(o, "o_orderdate").withColumnRenamed("o_orderdate", "dim_collected_date")
 
 
-@register("anomaly_detect_seasonal")
+PART_ROUND = {"level": 2, "trend": 2, "holiday_effect": 2, "season": 2}
+
+
+@register("anomaly_detect_seasonal", O.with_(*O.DETECT_CHAIN, select="SELECT " + _round_sql(
+    ROUND_DET | PART_ROUND, ["is_target_segment", "dim_metric_name", "dim_collected_date", "met_metric_value",
+                             "is_anomaly", "is_level_shift", "is_spike"]) + " FROM det"))
 def anomaly_detect_seasonal(spark, sf_dir):
-    """I1/I2 level 2: trend + annual harmonics + US-holiday regression with
-    an AR order search per series (applyInPandas); rows-only check."""
-    from ..operators.seasonal import detect_seasonal
-    return detect_seasonal(long_series(spark, sf_dir), IDS, "dim_collected_date", "met_metric_value")
+    """The scores with what each week's band is made of: level (by
+    change points), trend, US-holiday effect and season."""
+    d = detections_df(spark, sf_dir, components=True)
+    return d.withColumns({c: F.round(c, n) for c, n in (ROUND_DET | PART_ROUND).items()})
