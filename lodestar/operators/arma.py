@@ -56,33 +56,55 @@ def coefficients_sql(r1: str, r2: str, th: str) -> str:
         "'p22', f.f2 * f.f2 * p + f.th * f.th)"))
 
 
-def filter_sql(values: str, d: str, c: str, first: str, m: str, keep: bool) -> str:
-    """SQL text of the filter over an array of values.
-
-    ``first``: the value before the array (used if d is 1); ``m``: a variable
-    holding ``coefficients_sql``.  The result is a struct with the sums v2
-    (of v^2 / F) and lf (of ln F); with ``keep`` also ``out``, an array of the
-    one-step forecasts and their variances (f, v)."""
-    kept0 = ", 'out', slice(array(named_struct('f', 0D, 'v', 0D)), 1, 0)" if keep else ""
-    kept = ", 'out', concat(s.out, array(named_struct('f', o.f, 'v', o.v)))" if keep else ""
+def _stationary_step(c: str, m: str) -> tuple[str, str]:
+    """Start and step for d = 0, where y_{t-1} is no part of the state."""
+    start = (f"named_struct('a1', 0D, 'a2', 0D, 'p11', {m}.p11, 'p12', {m}.p12, 'p22', {m}.p22, 'v2', 0D, 'lf', 0D")
+    seen = let("g", "s.p12 / s.p11", let("e", f"y - {c} - s.a1", (
+        f"named_struct('a1', {m}.f1 * (s.a1 + e) + s.a2 + g * e, 'a2', {m}.f2 * (s.a1 + e), "
+        f"'p11', s.p22 - g * s.p12 + 1D, 'p12', {m}.th, 'p22', {m}.th * {m}.th, "
+        "'v2', s.v2 + e * e / s.p11, 'lf', s.lf + ln(s.p11)%s)")))
+    missed = (f"named_struct('a1', {m}.f1 * s.a1 + s.a2, 'a2', {m}.f2 * s.a1, "
+              f"'p11', {m}.f1 * {m}.f1 * s.p11 + 2D * {m}.f1 * s.p12 + s.p22 + 1D, "
+              f"'p12', {m}.f1 * {m}.f2 * s.p11 + {m}.f2 * s.p12 + {m}.th, "
+              f"'p22', {m}.f2 * {m}.f2 * s.p11 + {m}.th * {m}.th, 'v2', s.v2, 'lf', s.lf%s)")
+    return start, f"IF(y IS NULL, {missed}, {seen})"
+
+
+def _integrated_step(c: str, first: str, m: str) -> tuple[str, str]:
+    """Start and step for d = 1, with y_{t-1} as part l of the state."""
     start = (f"named_struct('l', CAST({first} AS DOUBLE), 'a1', 0D, 'a2', 0D, 'pl', 0D, 'q1', 0D, 'q2', 0D, "
-             f"'p11', {m}.p11, 'p12', {m}.p12, 'p22', {m}.p22, 'v2', 0D, 'lf', 0D{kept0})")
-    forecast = f"named_struct('f', {d} * s.l + s.a1 + {c}, 'v', {d} * (s.pl + 2D * s.q1) + s.p11)"
-    gain = (f"named_struct('e', coalesce(y - o.f, 0D), 'v', o.v, "
-            f"'l', IF(y IS NULL, 0D, {d} * (s.pl + s.q1) / o.v), 'a1', IF(y IS NULL, 0D, ({d} * s.q1 + s.p11) / o.v), "
-            f"'a2', IF(y IS NULL, 0D, ({d} * s.q2 + s.p12) / o.v))")
+             f"'p11', {m}.p11, 'p12', {m}.p12, 'p22', {m}.p22, 'v2', 0D, 'lf', 0D")
+    gain = (f"named_struct('e', coalesce(y - s.l - s.a1 - {c}, 0D), 'v', v, 'l', IF(y IS NULL, 0D, (s.pl + s.q1) / v), "
+            "'a1', IF(y IS NULL, 0D, (s.q1 + s.p11) / v), 'a2', IF(y IS NULL, 0D, (s.q2 + s.p12) / v))")
     seen = ("named_struct('l', s.l + g.l * g.e, 'a1', s.a1 + g.a1 * g.e, 'a2', s.a2 + g.a2 * g.e, "
             "'pl', s.pl - g.l * g.l * g.v, 'q1', s.q1 - g.l * g.a1 * g.v, 'q2', s.q2 - g.l * g.a2 * g.v, "
             "'p11', s.p11 - g.a1 * g.a1 * g.v, 'p12', s.p12 - g.a1 * g.a2 * g.v, 'p22', s.p22 - g.a2 * g.a2 * g.v)")
-    ahead = (f"named_struct('l', {d} * (u.l + u.a1 + {c}), 'a1', {m}.f1 * u.a1 + u.a2, 'a2', {m}.f2 * u.a1, "
-             f"'pl', {d} * (u.pl + 2D * u.q1 + u.p11), "
-             f"'q1', {d} * ({m}.f1 * (u.q1 + u.p11) + u.q2 + u.p12), 'q2', {d} * {m}.f2 * (u.q1 + u.p11), "
+    ahead = (f"named_struct('l', u.l + u.a1 + {c}, 'a1', {m}.f1 * u.a1 + u.a2, 'a2', {m}.f2 * u.a1, "
+             f"'pl', u.pl + 2D * u.q1 + u.p11, 'q1', {m}.f1 * (u.q1 + u.p11) + u.q2 + u.p12, "
+             f"'q2', {m}.f2 * (u.q1 + u.p11), "
              f"'p11', {m}.f1 * {m}.f1 * u.p11 + 2D * {m}.f1 * u.p12 + u.p22 + 1D, "
              f"'p12', {m}.f1 * {m}.f2 * u.p11 + {m}.f2 * u.p12 + {m}.th, "
              f"'p22', {m}.f2 * {m}.f2 * u.p11 + {m}.th * {m}.th, "
-             f"'v2', s.v2 + IF(y IS NULL, 0D, g.e * g.e / g.v), 'lf', s.lf + IF(y IS NULL, 0D, ln(g.v)){kept})")
-    step = let("o", forecast, let("g", gain, let("u", seen, ahead)))
-    return f"aggregate({values}, {start}, (s, y) -> {step})"
+             "'v2', s.v2 + IF(y IS NULL, 0D, g.e * g.e / g.v), 'lf', s.lf + IF(y IS NULL, 0D, ln(g.v))%s)")
+    return start, let("v", "s.pl + 2D * s.q1 + s.p11", let("g", gain, let("u", seen, ahead)))
+
+
+def filter_sql(values: str, d: str, c: str, first: str, m: str, keep: bool) -> str:
+    """SQL text of the filter over an array of values.
+
+    ``first``: the value before the array (used if d is 1); ``m``: a variable
+    holding ``coefficients_sql``.  The result is a struct with the sums v2
+    (of v^2 / F) and lf (of ln F); with ``keep`` also ``out``, an array of the
+    one-step forecasts and their variances (f, v)."""
+    def run(start: str, step: str, forecast: str, variance: str) -> str:
+        kept0 = ", 'out', slice(array(named_struct('f', 0D, 'v', 0D)), 1, 0)" if keep else ""
+        kept = f", 'out', concat(s.out, array(named_struct('f', {forecast}, 'v', {variance})))" if keep else ""
+        last = "named_struct('v2', s.v2, 'lf', s.lf" + (", 'out', s.out)" if keep else ")")
+        return f"aggregate({values}, {start}{kept0}), (s, y) -> {step.replace('%s', kept)}, s -> {last})"
+
+    plain = run(*_stationary_step(c, m), f"{c} + s.a1", "s.p11")
+    summed = run(*_integrated_step(c, first, m), f"s.l + s.a1 + {c}", "s.pl + 2D * s.q1 + s.p11")
+    return f"IF({d} = 0, {plain}, {summed})"
 
 
 def series_arrays(weeks: DataFrame, ids: list[str], slot: str, value: str) -> DataFrame:
@@ -92,7 +114,7 @@ def series_arrays(weeks: DataFrame, ids: list[str], slot: str, value: str) -> Da
     x = weeks.selectExpr(*[_q(i) for i in ids], f"{S} AS __slot", f"CAST({V} AS DOUBLE) AS __v",
                          f"{V} - lag({V}, 1) OVER (PARTITION BY {qi} ORDER BY {S}) AS __dv")
     g = x.groupBy(*ids).agg(*[F.expr(e) for e in (
-        "transform(array_sort(collect_list(named_struct('t', __slot, 'v', __v))), r -> r.v) AS __all",
+        "transform(sort_array(collect_list(named_struct('t', __slot, 'v', __v))), r -> r.v) AS __all",
         "count(__v) AS __n0", "avg(__v) AS __mean",
         f"coalesce(CAST(var_samp(__dv) < {STEADY!r}D * var_samp(__v) AS INT), 0) AS __d",
         "min(__slot) AS __lo", "min(__slot) FILTER (WHERE __v IS NOT NULL) AS __at",
@@ -136,7 +158,7 @@ def fit_arma(weeks: DataFrame, ids: list[str], slot: str, value: str) -> DataFra
     x = series_arrays(weeks, ids, slot, value).selectExpr("*", f"inline(array({orders}))").selectExpr(
         "*", "CAST(p + q + 2 AS LONG) AS __k")
     # a fixed number of partitions: the searches are work, not bytes
-    x = x.repartition(int(weeks.sparkSession.conf.get("spark.sql.shuffle.partitions")), *ids, "p", "q")
+    x = x.repartition(4 * weeks.sparkSession.sparkContext.defaultParallelism, *ids, "p", "q")
     used = ["p >= 1", "p = 2", "q = 1"]
     axes = [f"IF({u}, {axis}, array(0D))" for u in used]
     x = x.selectExpr("*", f"{_searched(_lattice(*axes))} AS __best")

@@ -81,12 +81,12 @@ def level_cuts_sql(n: str, prefix: str, noise: str, penalty: float, least: int)
 
     ``prefix`` names an array whose element k + 1 holds (s, q): the sums of
     the first k centred values and of their squares."""
-    at = lambda k: f"element_at({prefix}, CAST({k} + 1 AS INT))"
-    spread = (f"greatest(0D, {at('t')}.q - {at('s')}.q - pow({at('t')}.s - {at('s')}.s, 2) / (t - s)) / {noise}")
+    spread = f"greatest(0D, e.q - p.q - pow(e.s - p.s, 2) / (t - i)) / {noise}"
     price = f"({penalty!r}D * ln({n}))"
-    step = let("best", f"array_min(transform(sequence(0, t - {least}), s -> named_struct("
-                       f"'c', round(element_at(a.f, s + 1) + {spread} + {price}, 6), 's', s)))",
-               "named_struct('f', concat(a.f, array(best.c)), 'b', concat(a.b, array(best.s)))")
+    step = let("e", f"element_at({prefix}, t + 1)", let(
+        "best", f"array_min(transform(slice({prefix}, 1, t - {least - 1}), (p, i) -> named_struct("
+                f"'c', round(a.f[i] + {spread} + {price}, 6), 's', i)))",
+        "named_struct('f', concat(a.f, array(best.c)), 'b', concat(a.b, array(best.s)))"))
     start = (f"named_struct('f', concat(array(round(-{price}, 6)), array_repeat(1e300D, {least - 1})), "
              f"'b', array_repeat(0, {least}))")
     back = (f"aggregate(sequence(1, {n}), named_struct('at', {n}, 'cuts', slice(array(0), 1, 0)), (w, i) -> "
@@ -112,8 +112,8 @@ def with_levels(weeks: DataFrame, ids: list[str], carry: list[str], *, penalty:
     x = x.selectExpr("*", f"sum(__c) {run} AS __s", f"sum(__c * __c) {run} AS __sq")
     row = ", ".join(f"'{c}', {_q(c)}" for c in ["__slot", "__value", "__k", *carry])
     g = x.groupBy(*ids).agg(*[F.expr(e) for e in (
-        f"array_sort(collect_list(named_struct({row}))) AS __rows",
-        "transform(array_sort(collect_list(named_struct('k', __k, 's', __s, 'q', __sq)) "
+        f"sort_array(collect_list(named_struct({row}))) AS __rows",
+        "transform(sort_array(collect_list(named_struct('k', __k, 's', __s, 'q', __sq)) "
         "FILTER (WHERE __plain IS NOT NULL)), p -> named_struct('s', p.s, 'q', p.q)) AS __sums",
         "CAST(count(__plain) AS INT) AS __n", "first(__mean) AS __mean", "median(abs(__rest)) AS __noise",
         "greatest(0D, least(0.9D, coalesce(sum(__rest * __before) / nullif(sum(__rest * __rest) "
@@ -180,6 +180,8 @@ def decompose(long: DataFrame, ids: list[str], ts: str, value: str, *, span: int
     Rows without a date or a value take no part.  The parts are known for
     gaps too; a gap's remainder is NULL."""
     weeks = with_holidays(weekly_spine(long, ids, ts, value))
+    # a fixed number of partitions: change points are work, not bytes
+    weeks = weeks.repartition(2 * long.sparkSession.sparkContext.defaultParallelism, *ids)
     first = weeks.selectExpr("*", "coalesce(__value, 0D) AS __x0", "least(weekofyear(__week), 52) AS __phase",
                              "CASE WHEN __value IS NULL THEN 0D ELSE 1D END AS __w")
     first = _smooth(first, ids, span, min_cycles, period).selectExpr(
