@@ -139,6 +139,23 @@ def spatial_comps_grid(spark, sf_dir):
                            lat="info_latitude", value="met_price", radius_m=COMPS_RADIUS_M)
 
 
+DENSE_RADIUS_M = 2000.0
+
+
+@register("spatial_comps_dense", O.with_(*O.FACT_CHAIN, select=f"""
+  SELECT a.met_bedrooms, a.info_longitude, a.info_latitude, count(b.met_price) AS comps_count,
+         CAST(sum(b.met_price) AS DOUBLE) / count(b.met_price) AS comps_avg
+  FROM (SELECT DISTINCT met_bedrooms, info_longitude, info_latitude FROM facts a
+        WHERE {_VALID_A} AND met_bedrooms IS NOT NULL) a
+  LEFT JOIN facts b ON a.met_bedrooms = b.met_bedrooms AND {_VALID_B} AND {_HAV_AB} <= {DENSE_RADIUS_M}
+  GROUP BY a.met_bedrooms, a.info_longitude, a.info_latitude"""))
+def spatial_comps_dense(spark, sf_dir):
+    """C1 over all weeks at once: few, dense groups, whose neighbours are
+    counted by the pyramid of cells."""
+    return neighbour_stats(fact_rows(spark, sf_dir), keys=["met_bedrooms"], lon="info_longitude",
+                           lat="info_latitude", value="met_price", radius_m=DENSE_RADIUS_M)
+
+
 @register("fact_table", O.with_(*COMPS_CHAIN, select="""
   SELECT * EXCLUDE (comps_count, comps_avg) FROM fact_table"""))
 def fact_table(spark, sf_dir):
