@@ -19,10 +19,8 @@ SERIES_METRICS = ["met_listings_count", "met_price_avg", "met_price_median",
 
 def series_base(facts: DataFrame, *, segment_col: str = "is_target",
                 date_col: str = "dim_collected_date",
-                accuracy: int = S.DEFAULT_ACCURACY) -> DataFrame:
-    active = facts.filter(F.col("is_active"))
-    return S.segment_series(active, date_col, segment_col,
-                            S.listing_metric_aggs(accuracy=accuracy))
+                sketch: int = S.DEFAULT_SKETCH) -> DataFrame:
+    return S.listing_series(facts.filter(F.col("is_active")), date_col, segment_col, sketch=sketch)
 
 
 def with_moving_averages(ts: DataFrame, date_col: str = "dim_collected_date") -> DataFrame:
@@ -31,7 +29,7 @@ def with_moving_averages(ts: DataFrame, date_col: str = "dim_collected_date") ->
 
 def build_series(facts: DataFrame, *, segment_col: str = "is_target",
                  date_col: str = "dim_collected_date",
-                 accuracy: int = S.DEFAULT_ACCURACY, fill_gaps: bool = False) -> DataFrame:
+                 sketch: int = S.DEFAULT_SKETCH, fill_gaps: bool = False) -> DataFrame:
     """fact -> weekly series: grouping sets, medians, 3 moving averages,
     52-week prior join, 4 crossover signals (17 columns).
 
@@ -39,7 +37,7 @@ def build_series(facts: DataFrame, *, segment_col: str = "is_target",
     widens the span.  ``fill_gaps=True`` first inserts the missing weeks of
     each segment (metrics NULL, count 0), so the frames count calendar
     weeks instead."""
-    ts = series_base(facts, segment_col=segment_col, date_col=date_col, accuracy=accuracy)
+    ts = series_base(facts, segment_col=segment_col, date_col=date_col, sketch=sketch)
     return series_windows(ts, date_col=date_col, fill_gaps=fill_gaps)
 
 

@@ -55,10 +55,9 @@ def grouping_sets_series(spark, sf_dir):
   FROM facts GROUP BY dim_collected_date"""))
 def approx_median(spark, sf_dir):
     """D3: sketch median per week (lower middle value, NULLs skipped)."""
-    return fact_rows(spark, sf_dir).groupBy("dim_collected_date").agg(
-        S.approx_median("met_price").alias("met_price_median"),
-        S.approx_median("met_price_per_sqft").alias("met_price_per_sqft_median"),
-        S.approx_median("met_bath_to_bed_ratio").alias("met_bath_to_bed_median"))
+    return S.grouped_metrics(fact_rows(spark, sf_dir), ["dim_collected_date"], medians={
+        "met_price_median": "met_price", "met_price_per_sqft_median": "met_price_per_sqft",
+        "met_bath_to_bed_median": "met_bath_to_bed_ratio"})
 
 
 @register("moving_averages", O.with_(*O.SERIES_CHAIN[:6], select="""

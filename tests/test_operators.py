@@ -223,13 +223,35 @@ def test_regularise_series_fills_gaps(spark):
 
 
 def test_series_metamorphic_partitions(spark):
-    df = _weekly(spark, 30)
-    aggs = {"m": S.approx_median("price"), "n": F.count("id")}
-    a = S.segment_series(df, "d", "seg", aggs).collect()
-    b = S.segment_series(df.repartition(7).orderBy(F.rand(3)), "d", "seg", aggs).collect()
+    df = _weekly(spark, 30).withColumn("half", F.col("price") / 2)
+    spec = dict(counts={"n": "id"}, means={"avg": "price"}, medians={"m": "price", "h": "half"})
+    a = S.grouped_metrics(df, ["d", "seg"], **spec).collect()
+    b = S.grouped_metrics(df.repartition(13).orderBy(F.rand(3)), ["d", "seg"], **spec, tasks=1).collect()
     assert sorted(map(tuple, a)) == sorted(map(tuple, b))
 
 
+def test_two_level_metrics_equal_plain_ones(spark):
+    rnd = random.Random(5)
+    rows = [(i % 3, None if i % 7 == 0 else rnd.randint(0, 50), None if i % 5 == 0 else rnd.random()) for i in range(2000)]
+    rows += [(9, None, None)]                                     # a group without any value
+    df = spark.createDataFrame(rows, "g int, a long, b double").repartition(40)
+    got = {r.g: r for r in S.grouped_metrics(df, ["g"], counts={"n": "a"}, means={"avg": "a"},
+                                             medians={"ma": "a", "mb": "b"}, tasks=8).collect()}
+    for g in (0, 1, 2):
+        a = sorted(x[1] for x in rows if x[0] == g and x[1] is not None)
+        b = sorted(x[2] for x in rows if x[0] == g and x[2] is not None)
+        assert (got[g].n, got[g].avg) == (len(a), sum(a) / len(a))
+        assert got[g].ma == a[(len(a) - 1) // 2] and got[g].mb == b[(len(b) - 1) // 2]
+    assert tuple(got[9])[1:] == (0, None, None, None)
+
+
+def test_big_group_median_stays_close(spark):
+    df = spark.range(0, 400_000, 1, 16).selectExpr("1 AS g", "(id * 7919) % 400009 AS v")
+    r = S.grouped_metrics(df, ["g"], medians={"m": "v"}, sketch=4096, tasks=4).first()
+    below = df.where(F.col("v") <= r.m).count()
+    assert abs(below / 400_000 - 0.5) < 0.005
+
+
 import pytest  # noqa: E402
 
 

@@ -53,3 +53,19 @@ def test_grouping_sets_aggregate_partially(spark, tmp_path):
                         {"n": F.count("id"), "m": F.percentile_approx("met_price", 0.5, 1000)})
     plan = _plan(ts)
     assert "Expand" in plan and len(re.findall(r"HashAggregate\(", plan)) >= 2
+
+
+def test_no_task_merges_the_sketches_of_all_scan_tasks(spark):
+    """A hot week over many scan tasks: its sketches meet in groups first."""
+    from lodestar.operators.series import LISTING_COUNTS, LISTING_MEANS, LISTING_MEDIANS, listing_series, salted_partials
+    facts = spark.range(0, 3000, 1, 300).selectExpr(
+        "CAST(id AS STRING) AS id", "DATE'2024-01-01' AS dim_collected_date", "id % 2 = 0 AS is_target",
+        "id AS met_price", "CAST(id AS DOUBLE) AS met_price_per_sqft")
+    first = salted_partials(facts, ["dim_collected_date", "is_target"], counts=LISTING_COUNTS, means=LISTING_MEANS,
+                            medians=LISTING_MEDIANS, tasks=20)
+    salts = first.groupBy("is_target").count().collect()
+    assert all(r["count"] == 15 for r in salts)                   # 300 tasks, 20 to a salt
+    plan = _plan(listing_series(facts, "dim_collected_date", "is_target", tasks=20))
+    scan_side = plan[plan.index("partial_kll_sketch_agg"):]
+    assert "Expand" in plan and "Expand" not in scan_side         # facts are aggregated once, not per grouping set
+    assert "__salt" in scan_side
