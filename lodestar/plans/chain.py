@@ -66,10 +66,13 @@ def run_chain(spark, raw_dir: str, warehouse: str, as_of, *, target_zip: str,
               centre_lon: float, centre_lat: float, target_radius_m: float = 3000.0,
               comps_radius_m: float = 1000.0, segment_col: str = "is_target") -> dict:
     """raw CSV snapshots -> base (incremental) -> fact (incremental, comps
-    against the whole base) -> series, anomalies and latest (rebuilt).
+    against the whole base) -> series, anomalies and latest.
 
-    Each layer is a stored table under ``warehouse``; a rerun with no new
-    raw dates appends nothing and rebuilds the same results.  Returns
+    Each layer is a stored table under ``warehouse`` with atomic versions.  A
+    table knows what it has taken in: the base its source files, the others
+    the loads of the table they read.  So a rerun with nothing new appends
+    nothing, a run that died at any point goes on where it stopped, and a load
+    without dated or active rows holds up nothing that comes later.  Returns
     DataFrames over the stored tables."""
     from ..functions.casts import parse_date
     from ..operators import anomaly as A
@@ -80,45 +83,48 @@ def run_chain(spark, raw_dir: str, warehouse: str, as_of, *, target_zip: str,
     from ..operators.snapshot import latest_per_key
     from ..operators.spatial import add_comps_ratio
     from ..session import materialize
-    from ..sources.csvio import read_snapshots
-    from ..sources.tables import append_partitions, rebuild_table, table_exists
+    from ..sources.csvio import read_snapshots, snapshot_files
+    from ..sources.tables import append_load, current_version, not_taken, read_table, rebuild_table, replace_table
     from ..streaming.incremental import after_mark
 
     base_p, fact_p = f"{warehouse}/base", f"{warehouse}/fact"
     day = "dim_collected_date"
 
-    base_t = spark.read.parquet(base_p) if table_exists(spark, base_p) else None
-    raw = read_snapshots(spark, raw_dir)
-    # a first load keeps every row, also those without a readable date; later
-    # loads take rows newer than the mark, which leaves undated rows out
-    new_raw = after_mark(raw, parse_date("collected_date"), base_t, day)
-    append_partitions(typed_projection(new_raw, BASE_SPEC), base_p, day)
-    base = spark.read.parquet(base_p)
-
-    fact_t = spark.read.parquet(fact_p) if table_exists(spark, fact_p) else None
-    new_base = after_mark(base, day, fact_t, day)
-    f = add_fact_metrics(add_target_flag(add_fact_flags(new_base, as_of), as_of, zip_value=target_zip,
-                                         centre_lon=centre_lon, centre_lat=centre_lat,
-                                         radius_m=target_radius_m), as_of)
-    # Comps match on the date, and the base holds every row of each date
-    # newer than the fact mark, so the new rows are their own complete
-    # reference (S17): no run re-aggregates the points of the whole history.
-    f = add_comps_ratio(f, keys=[day, "met_bedrooms"], lon="info_longitude", lat="info_latitude",
-                        value="met_price", radius_m=comps_radius_m)
-    append_partitions(f, fact_p, day)
-    fact = spark.read.parquet(fact_p)
-
-    # Series: facts are append-only by date, so a week's aggregate never
-    # changes once its facts landed.  Only weeks after the stored
-    # aggregate's mark are aggregated (a scan of the new fact dates, pruned
-    # by the literal mark); the windows are recomputed over the small
-    # (week, segment) table.
+    # Base: files not taken in yet, and of those the rows newer than the mark
+    # (S11); without a mark every row, also those without a readable date.
+    files = snapshot_files(spark, raw_dir)
+    fresh = not_taken(spark, base_p, list(files))
+    if fresh:
+        raw = read_snapshots(spark, [files[k] for k in fresh])
+        new_raw = after_mark(raw, parse_date("collected_date"), read_table(spark, base_p), day, empty_loads_all=True)
+        append_load(typed_projection(new_raw, BASE_SPEC), base_p, day, taken=fresh)
+    base = read_table(spark, base_p)
+    if base is None:
+        raise FileNotFoundError(f"no CSV snapshot below {raw_dir}")
+
+    fresh = not_taken(spark, fact_p, current_version(spark, base_p).loads)
+    if fresh:
+        new_base = read_table(spark, base_p, fresh)
+        f = add_fact_metrics(add_target_flag(add_fact_flags(new_base, as_of), as_of, zip_value=target_zip,
+                                             centre_lon=centre_lon, centre_lat=centre_lat,
+                                             radius_m=target_radius_m), as_of)
+        # Comps match on the date, and by the mark each date lies in one load
+        # of the base, so the new rows are their own complete reference
+        # (S17): no run re-aggregates the points of the whole history.
+        f = add_comps_ratio(f, keys=[day, "met_bedrooms"], lon="info_longitude", lat="info_latitude",
+                            value="met_price", radius_m=comps_radius_m)
+        append_load(f, fact_p, day, taken=fresh)
+    fact = read_table(spark, fact_p)
+    fact_loads = current_version(spark, fact_p).loads
+
+    # Series: by the mark a week's facts lie in one load, so its aggregate
+    # never changes once they landed.  Only new loads are aggregated; the
+    # windows are recomputed over the small (week, segment) table.
     agg_p = f"{warehouse}/series_base"
-    agg_t = spark.read.parquet(agg_p) if table_exists(spark, agg_p) else None
-    new_fact = after_mark(fact, day, agg_t, day)
-    series_base(new_fact, segment_col=segment_col).write.mode("append").parquet(agg_p)
-    series = materialize(series_windows(spark.read.parquet(agg_p)))
-    series = rebuild_table(series, f"{warehouse}/series")
+    fresh = not_taken(spark, agg_p, fact_loads)
+    if fresh:
+        append_load(series_base(read_table(spark, fact_p, fresh), segment_col=segment_col), agg_p, taken=fresh)
+    series = rebuild_table(series_windows(read_table(spark, agg_p)), f"{warehouse}/series")
     long = unpivot_metrics(series, SERIES_KEYS, SERIES_METRICS)
     ids = ["is_target_segment", "dim_metric_name"]
     parts = materialize(decompose(long, ids, day, "met_metric_value"))
@@ -134,17 +140,13 @@ def run_chain(spark, raw_dir: str, warehouse: str, as_of, *, target_zip: str,
                     f"upper_bound_{m}": f"{m}_upper_bound", f"anomaly_prob_{m}": f"{m}_anomaly_probability"})
     wide = wide.select(*SERIES_KEYS, *[F.col(a).alias(b) for a, b in ren.items()])
     anomalies = rebuild_table(series.join(wide, SERIES_KEYS, "left"), f"{warehouse}/anomalies")
-    # Latest state: facts newer than the table's own mark are those it has not
-    # seen (its newest date is the newest fact it was built from), so
-    # latest(stored latest + newer facts) is exact, also after a run that
-    # stopped between the two tables; without a table all facts count.  The
-    # result is checkpointed before it replaces the table it was read from.
+    # Latest state: latest(stored latest + facts it has not taken in) is exact,
+    # also after a run that stopped between the tables.
     latest_p = f"{warehouse}/latest"
-    src = fact
-    if table_exists(spark, latest_p):
-        stored = spark.read.parquet(latest_p)
-        seen = stored.agg(F.max(day)).first()[0]
-        if seen is not None:
-            src = stored.unionByName(fact.where(F.col(day) > F.lit(seen)))
-    latest = rebuild_table(materialize(latest_per_key(src, "id", [day, "mls_number"])), latest_p)
+    fresh = not_taken(spark, latest_p, fact_loads)
+    latest = read_table(spark, latest_p)
+    if fresh:
+        src = read_table(spark, fact_p, fresh)
+        src = src if latest is None else latest.unionByName(src)
+        latest = replace_table(latest_per_key(src, "id", [day, "mls_number"]), latest_p, taken=fact_loads)
     return {"base": base, "fact": fact, "series": series, "anomalies": anomalies, "latest": latest}

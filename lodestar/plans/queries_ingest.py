@@ -15,7 +15,7 @@ from ..operators.snapshot import latest_per_key
 from ..session import scratch_path
 from ..sources import csvio, unions
 from ..sources.paged import ParquetPages, paged_source as paged_source_fn
-from ..sources.tables import rebuild_table
+from ..sources.tables import read_table, rebuild_table
 from ..streaming.incremental import after_mark, incremental_append as incremental_append_fn
 from . import oracle as O
 from .queries_series import fact_rows
@@ -290,7 +290,7 @@ def incremental_append(spark, sf_dir):
     early = F.coalesce(F.col("dim_collected_date") < F.lit(_SPLIT).cast("date"), F.lit(True))
     incremental_append_fn(spark, src.where(early), path, "dim_collected_date")
     incremental_append_fn(spark, src, path, "dim_collected_date")
-    return spark.read.parquet(path)
+    return read_table(spark, path)
 
 
 @register("high_water_filter", f"""
@@ -353,4 +353,4 @@ def incremental_stream(spark, sf_dir):
 
     stream_incremental(spark, sf_dir, schema, path, "dim_collected_date", chk,
                        glob="orders.parquet", transform=shape)
-    return spark.read.parquet(path)
+    return read_table(spark, path)

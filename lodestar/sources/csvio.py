@@ -38,10 +38,29 @@ def write_snapshot(df: DataFrame, path: str, *, partition_col: str | None = None
     return True
 
 
-def read_snapshots(spark: SparkSession, path: str, glob: str = "*.csv",
+def snapshot_files(spark: SparkSession, path: str, suffix: str = ".csv") -> dict[str, str]:
+    """Files below ``path`` by a key of their own: the path below it, the size
+    and the time of writing.  A file written anew has a new key."""
+    jvm = spark.sparkContext._jvm
+    top = jvm.org.apache.hadoop.fs.Path(path)
+    fs = top.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(top):
+        return {}
+    root = fs.makeQualified(top).toString().rstrip("/")
+    found, files = {}, fs.listFiles(top, True)
+    while files.hasNext():
+        f = files.next()
+        name = f.getPath().toString()
+        below = name[len(root):]
+        if name.endswith(suffix) and not any(x.startswith((".", "_")) and "=" not in x for x in below.split("/")):
+            found[f"{below}|{f.getLen()}|{f.getModificationTime()}"] = name
+    return dict(sorted(found.items()))
+
+
+def read_snapshots(spark: SparkSession, path: str | list[str], glob: str = "*.csv",
                    recursive: bool = True) -> DataFrame:
-    """All CSV files below ``path``, columns matched by header name, every
-    value as text (no inference: leading zeros are kept).
+    """All CSV files below ``path`` (or the files of a list), columns matched
+    by header name, every value as text (no inference: leading zeros are kept).
 
     No file is left out by its path: rows carry their own load stamp, and an
     incremental run compares that with the target's mark."""
