@@ -139,3 +139,61 @@ def test_strict_repair_is_linear_and_python_sees_hard_rows_only(spark):
     assert got[1:] == ['{"a": true}', None, '{"it\'s": 1}']
     plan = df.select(strict_text(F.col("s")).alias("j"))._jdf.queryExecution().optimizedPlan().toString()
     assert "_literal_to_json(CASE WHEN" in plan
+
+
+def _csv_cases():
+    rng = __import__("random").Random(3)
+    words = ["a", "", "plain", 'say "hi"', "two\nlines", "crlf\r\ninside", "\n", '"', '""', "x,y", "tail\n", "é漢", " pad "]
+    return [(f"{i:05d}", *(rng.choice(words) for _ in range(3))) for i in range(400)]
+
+
+def _as_csv(rows, header, end="\n"):
+    def cell(v):
+        return '"' + v.replace('"', '""') + '"' if any(c in v for c in '",\n\r') else v
+    return header + end + "".join(",".join(map(cell, r)) + end for r in rows)
+
+
+def test_one_file_is_read_by_many_tasks(spark, scratch):
+    """Splits of a few hundred bytes fall inside quoted values, between the
+    quotes of an escape, and inside records longer than a split."""
+    import os
+    rows = _csv_cases() + [("99999", "long " + 'quoted "text"\n' * 200, "", "z")]
+    want = sorted(tuple(v or None for v in r) for r in rows)
+    for end in ("\n", "\r\n"):
+        base = scratch("csv").replace("file:", "")
+        os.makedirs(base)
+        with open(f"{base}/one.csv", "w", newline="", encoding="utf-8") as f:
+            f.write(_as_csv(rows, "id,a,b,c", end))
+        keep = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+        try:
+            for size in ("300", "1237", "100000000"):
+                spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+                spark.conf.set("spark.sql.files.openCostInBytes", "1")
+                df = csvio.read_snapshots(spark, base)
+                got = sorted(tuple(r) for r in df.select("id", "a", "b", "c").collect())
+                assert got == want, (end, size)
+                tasks = csvio._lines(spark, [f"{base}/one.csv"]).rdd.getNumPartitions()
+                assert tasks > 20 if size == "300" else tasks >= 1
+        finally:
+            for k, v in keep.items():
+                spark.conf.set(k, v)
+
+
+def test_csv_reader_agrees_with_sparks_own(spark, scratch):
+    base = scratch("csv")
+    a = spark.createDataFrame(_csv_cases(), "id string, a string, b string, c string")
+    assert csvio.write_snapshot(a.repartition(3), f"{base}/1")
+    mine = csvio.read_snapshots(spark, base)
+    own = spark.read.options(**csvio.CSV_OPTIONS).csv(f"{base}/1")
+    assert sorted(map(str, mine.collect())) == sorted(map(str, own.select(*mine.columns).collect()))
+
+
+def test_empty_snapshot_leaves_the_last_one(spark, scratch):
+    base = scratch("csv")
+    one = spark.createDataFrame([("1", "x")], "id string, day string")
+    assert csvio.write_snapshot(one, f"{base}/d") and not csvio.write_snapshot(one.limit(0), f"{base}/d")
+    assert [r.id for r in csvio.read_snapshots(spark, base).collect()] == ["1"]
+    assert csvio.write_snapshot(one, f"{base}/p", partition_col="day")
+    two = spark.createDataFrame([("2", "y"), ("3", "x")], "id string, day string")
+    assert csvio.write_snapshot(two, f"{base}/p", partition_col="day")
+    assert sorted(r.id for r in csvio.read_snapshots(spark, f"{base}/p").collect()) == ["2", "3"]
