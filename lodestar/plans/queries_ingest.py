@@ -189,6 +189,33 @@ def schema_union(spark, sf_dir):
     return unions.schema_union(_event_parts(spark, sf_dir))
 
 
+_CENTS = "CAST(round(value * 100) AS BIGINT)"
+# One JSON record an event; each kind of event has keys of its own, every 97th
+# event none that can be read.
+_DRIFTING = f"""CASE
+  WHEN event_id % 97 = 0 THEN 'not a record'
+  WHEN event_type = 'view' THEN '{{"id": ' || CAST(event_id AS STRING) || ', "value": ' || CAST({_CENTS} AS STRING) || ', "meta": {{"user": ' || CAST(user_id AS STRING) || '}}}}'
+  WHEN event_type = 'click' THEN '{{"note": "a \\\\"b\\\\"", "props": ' || props || ', "tags": [1, ' || CAST(user_id AS STRING) || ']}}'
+  ELSE '{{"kind": "' || event_type || '", "value": null, "id": ' || CAST(event_id AS STRING) || '}}' END"""
+
+
+@register("record_union", f"""
+  SELECT event_id,
+    CASE WHEN r AND event_type <> 'click' THEN CAST(event_id AS STRING) ELSE '' END AS id,
+    CASE WHEN r AND event_type NOT IN ('view', 'click') THEN event_type ELSE '' END AS kind,
+    CASE WHEN r AND event_type = 'view' THEN '{{"user":' || CAST(user_id AS STRING) || '}}' ELSE '' END AS meta,
+    CASE WHEN r AND event_type = 'click' THEN 'a "b"' ELSE '' END AS note,
+    CASE WHEN r AND event_type = 'click' THEN replace(props, ' ', '') ELSE '' END AS props,
+    CASE WHEN r AND event_type = 'click' THEN '[1,' || CAST(user_id AS STRING) || ']' ELSE '' END AS tags,
+    CASE WHEN r AND event_type = 'view' THEN CAST({_CENTS} AS STRING) ELSE '' END AS value
+  FROM (SELECT *, event_id % 97 <> 0 AS r FROM events)""")
+def record_union(spark, sf_dir):
+    """Records with drifting keys to the sorted union of their keys,
+    absent ones filled, nested ones as JSON text."""
+    e = table(spark, sf_dir, "events").selectExpr("event_id", _DRIFTING + " AS record")
+    return unions.record_union(e, "record", keep=["event_id"])
+
+
 @register("bag_union", """
   SELECT 'documents' AS src, doc_id AS item, text FROM documents
   UNION ALL SELECT 'benchmark' AS src, item_id AS item, text FROM benchmark""")

@@ -197,3 +197,22 @@ def test_empty_snapshot_leaves_the_last_one(spark, scratch):
     two = spark.createDataFrame([("2", "y"), ("3", "x")], "id string, day string")
     assert csvio.write_snapshot(two, f"{base}/p", partition_col="day")
     assert sorted(r.id for r in csvio.read_snapshots(spark, f"{base}/p").collect()) == ["2", "3"]
+
+
+def test_record_union_of_drifting_keys(spark):
+    from lodestar.sources.unions import record_union
+    rows = [(1, '{"b": 1, "a key": "x", "n": {"d": [1, {"e": null}]}}'), (2, '{"c`c": true, "b": null}'), (3, "[1]"), (4, None),
+            (5, "broken {"), (6, "{}"), (7, '{"b": 1.5, "OBJECT<": "y", "q\\"": "z"}')]
+    df = spark.createDataFrame(rows, "id long, r string")
+    got = record_union(df, "r", keep=["id"])
+    assert got.columns == sorted(["OBJECT<", "a key", "b", "c`c", "id", "n", 'q"'])
+    by = {r["id"]: r.asDict() for r in got.collect()}
+    assert by[1] == {"OBJECT<": "", "a key": "x", "b": "1", "c`c": "", "id": 1, "n": '{"d":[1,{"e":null}]}', 'q"': ""}
+    assert by[2]["c`c"] == "true" and by[2]["b"] == "" and by[7]["b"] == "1.5" and by[7]["OBJECT<"] == "y"
+    assert all(set(v for k, v in by[i].items() if k != "id") == {""} for i in (3, 4, 5, 6))
+    nulls = {r["id"]: r for r in record_union(df, "r", keep=["id"], fill=None).collect()}
+    assert nulls[4]["b"] is None and nulls[1]["b"] == "1"
+    assert record_union(df.limit(0), "r", keep=["id"]).collect() == []
+    import pytest
+    with pytest.raises(ValueError, match="clash"):
+        record_union(df.withColumnRenamed("id", "b"), "r", keep=["b"])
