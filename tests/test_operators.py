@@ -146,6 +146,20 @@ def test_yoy_join_exact_shift(spark):
     assert got[None] is None
 
 
+def test_latest_per_key_ties_repeats_and_nulls(spark):
+    rows = [("a", dt.date(2024, 1, 1), 1, "x"), ("a", dt.date(2024, 1, 8), 1, "y"), ("a", dt.date(2024, 1, 8), 1, "y"),
+            ("a", dt.date(2024, 1, 8), 1, "z"), ("b", None, 5, "u"), ("b", None, None, "v"), (None, None, None, None),
+            (None, dt.date(2024, 1, 1), 2, "w"), ("c", None, None, None)]
+    df = spark.createDataFrame(rows, "id string, d date, k long, v string")
+    got = {r.id: tuple(r) for r in latest_per_key(df, "id", ["d", "k"]).collect()}
+    assert len(got) == 4 and got["b"][3] == "u" and got[None][3] == "w" and got["c"] == ("c", None, None, None)
+    assert got["a"][3] in ("y", "z")
+    for n in (1, 3, 7):  # a tie falls the same way in any partitioning
+        again = {r.id: tuple(r) for r in latest_per_key(df.repartition(n), "id", ["d", "k"]).collect()}
+        assert again == got
+    assert latest_per_key(df.limit(0), "id", ["d"]).collect() == []
+
+
 def test_latest_per_key(spark):
     rows = [("a", dt.date(2024, 1, 1), 1), ("a", dt.date(2024, 2, 1), 2), ("a", dt.date(2024, 2, 1), 3),
             ("b", dt.date(2024, 1, 1), 4), (None, dt.date(2024, 1, 1), 5), (None, dt.date(2024, 3, 1), 6)]

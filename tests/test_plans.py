@@ -33,11 +33,12 @@ def test_series_is_one_scan_no_self_join(spark, tmp_path):
     assert "Expand" in plan                                       # grouping sets in one pass
 
 
-def test_latest_is_partially_aggregated(spark, tmp_path):
+def test_latest_sorts_no_wide_rows(spark, tmp_path):
     plan = _plan(latest_per_key(_facts(spark, tmp_path), "id", ["dim_collected_date", "met_price"]))
-    aggs = re.findall(r"(SortAggregate|HashAggregate|ObjectHashAggregate)\(", plan)
-    assert len(aggs) >= 2 and "Window" not in plan               # partial + final, no per-id sort window
-    assert "partial_max_by" in plan
+    assert "partial_max" in plan and "Window" not in plan and "SortMergeJoin" not in plan
+    wide = [line for line in plan.splitlines() if re.search(r"[ -]Sort \[", line)]
+    assert all("__key" in line for line in wide)                  # narrow rows only
+    assert re.search(r"(ShuffledHashJoin|BroadcastHashJoin) .*LeftSemi", plan)
 
 
 def test_comps_has_equi_keys_and_no_cartesian(spark, tmp_path):
