@@ -14,7 +14,7 @@ from ..operators.cleanse import BASE_SPEC, typed_projection
 from ..operators.snapshot import latest_per_key
 from ..session import scratch_path
 from ..sources import csvio, unions
-from ..sources.paged import ParquetPages, paged_source as paged_source_fn
+from ..sources.paged import PageFiles, paged_source as paged_source_fn, write_pages
 from ..sources.tables import read_table, rebuild_table
 from ..streaming.incremental import after_mark, incremental_append as incremental_append_fn
 from . import oracle as O
@@ -266,8 +266,8 @@ _ORDER_DDL = ("o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_tota
 
 @register("paged_source", "SELECT * FROM orders")
 def paged_source(spark, sf_dir):
-    """A1-A3: two input partitions per key, pages of 500 until a short page;
-    pages cut from the orders table."""
+    """A1-A3: pages of 500 orders a key, tasks planned as equal page ranges from
+    the keys' counts, one Arrow batch a page."""
     return _paged_orders(spark, sf_dir, "paged_orders")
 
 
@@ -281,12 +281,14 @@ def paged_source_filtered(spark, sf_dir):
 
 
 def _paged_orders(spark, sf_dir, name, params=None):
-    keys = sorted(r[0] for r in table(spark, sf_dir, "orders")
-                  .select("o_orderpriority").distinct().collect())
-    cols = [c.split()[0] for c in _ORDER_DDL.split(", ")]
-    fetch = ParquetPages(f"{sf_dir}/orders.parquet", "o_orderpriority", cols, "o_orderkey")
-    return paged_source_fn(spark, fetch, keys, _ORDER_DDL, key_column="o_orderpriority",
-                           name=name, strides=2, params=params)
+    """Orders laid out as pages by Spark, then read through the source."""
+    orders = table(spark, sf_dir, "orders")
+    for c, v in (params or {}).items():
+        orders = orders.where(F.col(c) == F.lit(v))
+    path = scratch_path(spark, name)
+    counts = write_pages(orders, path, "o_orderpriority", "o_orderkey")
+    return paged_source_fn(spark, PageFiles(path, params=params), sorted(counts), _ORDER_DDL,
+                           key_column="o_orderpriority", name=name, params=params, counts=counts)
 
 
 @register("table_rebuild", O.with_(*O.FACT_CHAIN, select="""

@@ -216,3 +216,31 @@ def test_record_union_of_drifting_keys(spark):
     import pytest
     with pytest.raises(ValueError, match="clash"):
         record_union(df.withColumnRenamed("id", "b"), "r", keep=["b"])
+
+
+def test_paged_source_planned_from_counts(spark):
+    sizes = {"k1": 0, "k2": 1, "k3": 6, "k4": 7, "k5": 20}
+    df = paged_source(spark, lambda key, offset, limit: [{"id": i, "key": key} for i in range(sizes[key])][offset:offset + limit],
+                      list(sizes), "id long, key string, gone double", limit=3, counts=sizes, pages_per_task=2, name="paged_counts")
+    assert df.rdd.getNumPartitions() == 0 + 1 + 1 + 2 + 4
+    got = sorted((r.key, r.id, r.gone) for r in df.collect())
+    assert got == [(k, i, None) for k, n in sizes.items() for i in range(n)]
+    none = paged_source(spark, lambda *a: [], [], "id long", counts={}, name="paged_none")
+    assert none.collect() == []
+
+
+def test_pages_laid_out_by_spark(spark, scratch):
+    from lodestar.sources.paged import PageFiles, write_pages
+    keys = ["a b", "c:d/e", "100%", None]
+    rows = [(keys[i % 4] if i > 300 else "a b", (i * 7919) % 1009, f"v{i}") for i in range(1000)]
+    src = spark.createDataFrame(rows, "key string, o long, v string")
+    path = scratch("pages")
+    counts = write_pages(src.repartition(5), path, "key", "o", limit=40)
+    assert counts == {k: sum(r[0] == k for r in rows) for k in keys}
+    fetch = PageFiles(path, 40)
+    pages = [fetch("a b", off, 40) for off in range(0, counts["a b"], 40)]
+    assert [p.num_rows for p in pages[:-1]] == [40] * (len(pages) - 1)
+    order = [o for p in pages for o in p.column("o").to_pylist()]
+    assert order == sorted(order) and fetch("a b", 100_000 * 40, 40) == []
+    df = paged_source(spark, fetch, list(counts), "key string, o long, v string", limit=40, counts=counts, name="paged_files")
+    assert sorted(map(str, df.collect())) == sorted(map(str, src.collect()))
