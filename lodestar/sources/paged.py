@@ -191,5 +191,5 @@ class PageFiles:
         store, top = fs.FileSystem.from_uri(self.path) if ":" in self.path.split("/")[0] else (fs.LocalFileSystem(), self.path)
         folder = f"{top}/pages/__key={_folder(key)}/__page={offset // limit}"
         found = store.get_file_info(fs.FileSelector(folder, allow_not_found=True))
-        tables = [pq.read_table(f.path, filesystem=store) for f in found if f.path.endswith(".parquet")]
+        tables = [pq.read_table(f.path, filesystem=store, partitioning=None) for f in found if f.path.endswith(".parquet")]
         return pa.concat_tables(tables) if tables else []
