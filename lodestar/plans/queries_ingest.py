@@ -39,27 +39,53 @@ def _jtext(x: str) -> str:
     return f"CASE WHEN json_valid({r}) THEN CAST(json({r}) AS VARCHAR) END"
 
 
-def _base_sql_expr(f) -> str:
-    how = f.how or ""
-    if how == "point":
-        return None
-    if how == "yyyymmdd":
-        return f"CAST(try_strptime({f.source}, '%Y%m%d') AS DATE)"
-    if how == "pydict":
-        return _jtext(f.source)
-    if how.startswith("json:"):
-        parts = how.split(":")
-        e = _jx(f.source, parts[1])
-        return f"lower({e})" if len(parts) > 2 else e
-    if how == "lower":
-        return f"lower({f.source})"
-    if how == "upper":
-        return f"upper({f.source})"
-    t = {"string": "STRING", "double": "DOUBLE", "bigint": "BIGINT", "date": "DATE"}[f.type]
-    return f"TRY_CAST({f.source} AS {t})"
-
-
-_BASE_SQL = ",\n    ".join(f"{_base_sql_expr(f)} AS {f.target}" for f in BASE_SPEC if f.how != "point")
+# The base layer written out for the oracle, column by column, not read from the
+# engine's own list.
+_BASE_SQL = f"""
+    TRY_CAST(id AS STRING) AS id,
+    TRY_CAST(mlsnumber AS STRING) AS mls_number,
+    CAST(try_strptime(collected_date, '%Y%m%d') AS DATE) AS dim_collected_date,
+    TRY_CAST(createddate AS DATE) AS dim_created_date,
+    TRY_CAST(lastseendate AS DATE) AS dim_last_seen_date,
+    TRY_CAST(listeddate AS DATE) AS dim_listed_date,
+    TRY_CAST(removeddate AS DATE) AS dim_removed_date,
+    lower({_jx('builder', '$.development')}) AS dim_builder_development,
+    lower({_jx('builder', '$.name')}) AS dim_builder_name,
+    lower(city) AS dim_city,
+    lower(county) AS dim_county,
+    TRY_CAST(countyfips AS STRING) AS dim_fips_county,
+    TRY_CAST(statefips AS STRING) AS dim_fips_state,
+    lower({_jx('listingoffice', '$.name')}) AS dim_listing_office,
+    lower(listingtype) AS dim_listing_type,
+    lower(mlsname) AS dim_mls_name,
+    lower(propertytype) AS dim_property_type,
+    upper(state) AS dim_state,
+    lower(status) AS dim_status,
+    TRY_CAST(zipcode AS STRING) AS dim_zip,
+    TRY_CAST(bathrooms AS DOUBLE) AS met_bathrooms,
+    TRY_CAST(bedrooms AS DOUBLE) AS met_bedrooms,
+    TRY_CAST(daysonmarket AS BIGINT) AS met_days_on_market,
+    TRY_CAST(price AS BIGINT) AS met_price,
+    TRY_CAST(squarefootage AS BIGINT) AS met_square_feet,
+    TRY_CAST(yearbuilt AS BIGINT) AS met_year_built,
+    lower({_jx('builder', '$.phone')}) AS dim_builder_phone,
+    TRY_CAST(formattedaddress AS STRING) AS info_full_address,
+    {_jtext('history')} AS info_history,
+    {_jtext('hoa')} AS info_hoa,
+    TRY_CAST(longitude AS DOUBLE) AS info_longitude,
+    TRY_CAST(latitude AS DOUBLE) AS info_latitude,
+    lower({_jx('listingagent', '$.name')}) AS info_listing_agent,
+    lower({_jx('listingagent', '$.email')}) AS info_listing_agent_email,
+    {_jx('listingagent', '$.phone')} AS info_listing_agent_phone,
+    lower({_jx('listingagent', '$.website')}) AS info_listing_agent_website,
+    lower({_jx('listingoffice', '$.email')}) AS info_listing_office_email,
+    {_jx('listingoffice', '$.phone')} AS info_listing_office_phone,
+    TRY_CAST(addressline1 AS STRING) AS info_street1,
+    TRY_CAST(addressline2 AS STRING) AS info_street2"""
+_POINT = """TRY_CAST(longitude AS DOUBLE) BETWEEN -180 AND 180 AND TRY_CAST(latitude AS DOUBLE) BETWEEN -90 AND 90"""
+_POINT_SQL = f""",
+    CASE WHEN {_POINT} THEN TRY_CAST(longitude AS DOUBLE) END AS info_home_lon,
+    CASE WHEN {_POINT} THEN TRY_CAST(latitude AS DOUBLE) END AS info_home_lat"""
 
 
 def base_df(spark, sf_dir):
@@ -67,13 +93,15 @@ def base_df(spark, sf_dir):
     return typed_projection(raw_listings(spark, sf_dir), BASE_SPEC)
 
 
-@register("typed_base", O.with_(RAW, select=f"SELECT\n    {_BASE_SQL}\n  FROM raw"))
+@register("typed_base", O.with_(RAW, select=f"SELECT {_BASE_SQL}{_POINT_SQL}\n  FROM raw"))
 def typed_base(spark, sf_dir):
     """41-column typed projection (JSON columns shown as text, the
     point column as its two coordinates)."""
     b = base_df(spark, sf_dir)
-    return b.drop("info_home_location").withColumns(
-        {"info_history": F.to_json("info_history"), "info_hoa": F.to_json("info_hoa")})
+    return b.withColumns(
+        {"info_history": F.to_json("info_history"), "info_hoa": F.to_json("info_hoa"),
+         "info_home_lon": F.col("info_home_location")["lon"],
+         "info_home_lat": F.col("info_home_location")["lat"]}).drop("info_home_location")
 
 
 @register("safe_cast", O.with_(RAW, select="""

@@ -3,6 +3,8 @@ latest-listings table (P6)."""
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 from pyspark.sql import functions as F
 
 from ..operators import present as P
@@ -10,6 +12,8 @@ from ..operators.snapshot import latest_per_key
 from . import oracle as O
 from .queries_facts import COMPS_CHAIN, fact_table_df
 from .queries_models import _WIDE_R, anomaly_wide_rounded
+from ..session import scratch_path
+from ..sources.tables import rebuild_table
 from .registry import register
 from .standins import RECENT_AS_OF
 
@@ -27,23 +31,30 @@ RECENT_SQL = f"""recent AS (SELECT * FROM latest
   WHERE TRY_CAST(dim_listed_date AS DATE) BETWEEN DATE '{RECENT_AS_OF}' - INTERVAL 28 DAY AND DATE '{RECENT_AS_OF}')"""
 
 
-def latest_listings(spark, sf_dir):
+@lru_cache(maxsize=64)
+def _stored(spark, sf_dir, build):
+    """The result of ``build`` as a stored table, written once a session: the
+    display frames read the two result tables back (A16), as a dashboard does
+    between two runs of the chain, and recompute nothing."""
+    return rebuild_table(build(spark, sf_dir), scratch_path(spark, build.__name__))
+
+
+def build_latest(spark, sf_dir):
     """The latest-state listings table (facts with comps, one row per id)."""
     return latest_per_key(fact_table_df(spark, sf_dir), "id", ["dim_collected_date", "listing_key"]).drop(
         "comps_count", "comps_avg")
 
 
-def latest_listings_light(spark, sf_dir):
-    """Latest listing rows without the comps columns.  The comps are a left
-    join that never changes the row set, so counts and coordinates are the
-    same; frames that need neither the ratio nor its inputs use this and
-    skip the pair join."""
-    from .queries_series import fact_rows
-    return latest_per_key(fact_rows(spark, sf_dir), "id", ["dim_collected_date", "listing_key"])
+def latest_listings(spark, sf_dir):
+    return _stored(spark, sf_dir, build_latest)
+
+
+def anomalies(spark, sf_dir):
+    return _stored(spark, sf_dir, anomaly_wide_rounded)
 
 
 def trends_filtered(spark, sf_dir):
-    return P.trend_filter(anomaly_wide_rounded(spark, sf_dir), T0, T1, segment="true")
+    return P.trend_filter(anomalies(spark, sf_dir), T0, T1, segment="true")
 
 
 def recent(spark, sf_dir):
@@ -62,6 +73,25 @@ def recent_listings(spark, sf_dir):
     return recent(spark, sf_dir)
 
 
+@register("optional_columns", O.with_(*LIST_CHAIN, select="""
+  SELECT 'no listed date' AS input, count(*) AS rows, count(met_price) AS priced FROM latest WHERE is_target
+  UNION ALL SELECT 'no target flag', count(*), count(met_price) FROM latest
+    WHERE TRY_CAST(dim_listed_date AS DATE) BETWEEN DATE '%s' - INTERVAL 28 DAY AND DATE '%s'
+  UNION ALL SELECT 'neither', count(*), count(met_price) FROM latest""" % (RECENT_AS_OF, RECENT_AS_OF)))
+def optional_columns(spark, sf_dir):
+    """The listings filter on tables that lack its optional columns;
+    a filter whose column is missing is left out."""
+    l = latest_listings(spark, sf_dir)
+    out = None
+    for name, lacking in (("no listed date", ["dim_listed_date"]), ("no target flag", ["is_target"]),
+                          ("neither", ["dim_listed_date", "is_target"])):
+        got = P.recent_listings(l.drop(*lacking), RECENT_AS_OF).agg(
+            F.count("*").alias("rows"), F.count("met_price").alias("priced")).select(
+            F.lit(name).alias("input"), "rows", "priced")
+        out = got if out is None else out.unionByName(got)
+    return out
+
+
 def _kdisp(x: str) -> str:
     return f"'$' || format('{{:,.0f}}', {x} / 1000.0) || 'k'"
 
@@ -76,8 +106,7 @@ def _kdisp(x: str) -> str:
   UNION ALL SELECT 'listings', CAST(count(*) AS DOUBLE), format('{{:,.0f}}', CAST(count(*) AS DOUBLE)) FROM recent"""))
 def kpi_summary(spark, sf_dir):
     """The four dashboard KPIs as a long table."""
-    light = P.recent_listings(latest_listings_light(spark, sf_dir), RECENT_AS_OF, target_homes=False)
-    return P.kpi_summary(trends_filtered(spark, sf_dir), light)
+    return P.kpi_summary(trends_filtered(spark, sf_dir), recent(spark, sf_dir))
 
 
 @register("date_bounds", O.with_(*TREND_CHAIN, select="""
@@ -85,7 +114,7 @@ def kpi_summary(spark, sf_dir):
          coalesce(max(dim_collected_date), DATE '2024-12-31') AS max_date FROM wide_r"""))
 def date_bounds(spark, sf_dir):
     """First and last collected date (defaults when empty)."""
-    return P.date_bounds(anomaly_wide_rounded(spark, sf_dir))
+    return P.date_bounds(anomalies(spark, sf_dir))
 
 
 _MAP_SQL = """mpts AS (
@@ -106,8 +135,7 @@ def map_points(spark, sf_dir):
   SELECT round(avg(latitude), 9) AS centre_lat, round(avg(longitude), 9) AS centre_lon FROM mpts"""))
 def map_centre(spark, sf_dir):
     """Mean coordinates of the map points."""
-    light = P.recent_listings(latest_listings_light(spark, sf_dir), RECENT_AS_OF, target_homes=False)
-    c = P.map_centre(P.map_points(light))
+    c = P.map_centre(P.map_points(recent(spark, sf_dir)))
     return c.select(F.round("centre_lat", 9).alias("centre_lat"), F.round("centre_lon", 9).alias("centre_lon"))
 
 
@@ -136,6 +164,6 @@ def inventory_by_ratio(spark, sf_dir):
   FROM wide_r GROUP BY is_target_segment"""))
 def latest_trend_row(spark, sf_dir):
     """the newest trend row per segment."""
-    return P.latest_trend_row(anomaly_wide_rounded(spark, sf_dir),
+    return P.latest_trend_row(anomalies(spark, sf_dir),
                               cols=["dim_collected_date", "met_price_median", "met_04_week_ma",
                                     "is_price_median_anomaly"])
