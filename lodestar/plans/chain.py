@@ -60,6 +60,23 @@ def series_windows(ts: DataFrame, *, date_col: str = "dim_collected_date",
                       "is_yoy_cross_down", "is_yoy_cross_up")
 
 
+# Pivoted column prefix -> column of the scores.
+SCORES = {"is_anomaly": "is_anomaly", "lower_bound": "lower_bound", "upper_bound": "upper_bound",
+          "anomaly_prob": "anomaly_probability"}
+
+
+def wide_scores(det: DataFrame) -> DataFrame:
+    """Scores of all metrics side by side, one row per date and segment, under
+    their presentation names (I5)."""
+    from ..operators.reshape import pivot_wide
+    wide = pivot_wide(det, SERIES_KEYS, "dim_metric_name", SERIES_METRICS, SCORES)
+    names = {}
+    for m in SERIES_METRICS:
+        names |= {f"is_anomaly_{m}": f"is_{m.removeprefix('met_')}_anomaly", f"lower_bound_{m}": f"{m}_lower_bound",
+                  f"upper_bound_{m}": f"{m}_upper_bound", f"anomaly_prob_{m}": f"{m}_anomaly_probability"}
+    return wide.select(*SERIES_KEYS, *[F.col(a).alias(b) for a, b in names.items()])
+
+
 # ---- P7: the whole chain over stored tables --------------------------------
 
 def run_chain(spark, raw_dir: str, warehouse: str, as_of, *, target_zip: str,
@@ -79,7 +96,7 @@ def run_chain(spark, raw_dir: str, warehouse: str, as_of, *, target_zip: str,
     from ..operators.cleanse import BASE_SPEC, typed_projection
     from ..operators.decompose import decompose
     from ..operators.features import add_target_flag
-    from ..operators.reshape import pivot_wide, unpivot_metrics
+    from ..operators.reshape import unpivot_metrics
     from ..operators.snapshot import latest_per_key
     from ..operators.spatial import add_comps_ratio
     from ..session import materialize
@@ -130,15 +147,7 @@ def run_chain(spark, raw_dir: str, warehouse: str, as_of, *, target_zip: str,
     parts = materialize(decompose(long, ids, day, "met_metric_value"))
     params = A.fit_series_models(long, ids, day, "met_metric_value", parts=parts)
     det = A.detect_anomalies(long, params, ids, day, "met_metric_value", 0.95, parts=parts)
-    aggs = {"is_anomaly": "is_anomaly", "lower_bound": "lower_bound",
-            "upper_bound": "upper_bound", "anomaly_prob": "anomaly_probability"}
-    wide = pivot_wide(det, SERIES_KEYS, "dim_metric_name", SERIES_METRICS, aggs)
-    ren = {}
-    for m in SERIES_METRICS:
-        x = m[len("met_"):]
-        ren.update({f"is_anomaly_{m}": f"is_{x}_anomaly", f"lower_bound_{m}": f"{m}_lower_bound",
-                    f"upper_bound_{m}": f"{m}_upper_bound", f"anomaly_prob_{m}": f"{m}_anomaly_probability"})
-    wide = wide.select(*SERIES_KEYS, *[F.col(a).alias(b) for a, b in ren.items()])
+    wide = wide_scores(det)
     anomalies = rebuild_table(series.join(wide, SERIES_KEYS, "left"), f"{warehouse}/anomalies")
     # Latest state: latest(stored latest + facts it has not taken in) is exact,
     # also after a run that stopped between the tables.

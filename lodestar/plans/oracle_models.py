@@ -15,28 +15,33 @@ from statistics import NormalDist
 Z95 = NormalDist().inv_cdf(0.975)
 _I = "is_target_segment, dim_metric_name"
 
-# Federal holidays of the years in the test tables, by the
-# Monday of their week; written out, not computed from the engine's rules.
+# Federal holidays since 1986, stated apart from the engine's rules
+# as (month, ISO weekday, n-th) and as month and day.
 _NTH = {"Martin Luther King Jr. Day": (1, 1, 3), "Washington''s Birthday": (2, 1, 3), "Labor Day": (9, 1, 1),
         "Columbus Day": (10, 1, 2), "Thanksgiving Day": (11, 4, 4)}
 _FIXED = {"New Year''s Day": "01-01", "Independence Day": "07-04", "Veterans Day": "11-11", "Christmas Day": "12-25"}
 
 
-def _holidays() -> str:
-    """Every day of the years concerned, kept if it is a holiday: the n-th
-    given weekday of its month, the last Monday of May, or a fixed day."""
+def holiday_days(first: str, last: str) -> str:
+    """Every day from the year of ``first`` to that of ``last`` that is a
+    holiday, with its name: the n-th given weekday of its month, the last
+    Monday of May, or a fixed day."""
     nth = " ".join(f"WHEN month(d) = {m} AND isodow(d) = {w} AND (day(d) + 6) // 7 = {n} THEN '{name}'"
                    for name, (m, w, n) in _NTH.items())
     fixed = " ".join(f"WHEN strftime(d, '%m-%d') = '{md}' THEN '{name}'" for name, md in _FIXED.items())
-    return f"""hol AS MATERIALIZED (
-  SELECT CAST(date_trunc('week', d) AS DATE) AS week_start, min(name) AS holiday_name FROM (
+    return f"""SELECT d, name FROM (
     SELECT d, CASE {nth} {fixed}
       WHEN month(d) = 5 AND isodow(d) = 1 AND day(d) > 24 THEN 'Memorial Day'
       WHEN strftime(d, '%m-%d') = '06-19' AND year(d) >= 2021 THEN 'Juneteenth' END AS name
-    FROM (SELECT CAST(unnest(generate_series(
-      (SELECT date_trunc('year', min(wk)) FROM weeks), (SELECT date_trunc('year', max(wk)) + INTERVAL 1 YEAR - INTERVAL 1 DAY FROM weeks),
-      INTERVAL 1 DAY)) AS DATE) AS d))
-  WHERE name IS NOT NULL GROUP BY 1)"""
+    FROM (SELECT CAST(unnest(generate_series(date_trunc('year', {first}),
+      date_trunc('year', {last}) + INTERVAL 1 YEAR - INTERVAL 1 DAY, INTERVAL 1 DAY)) AS DATE) AS d))
+  WHERE name IS NOT NULL"""
+
+
+def _holidays() -> str:
+    days = holiday_days("(SELECT min(wk) FROM weeks)", "(SELECT max(wk) FROM weeks)")
+    return f"""hol AS MATERIALIZED (
+  SELECT CAST(date_trunc('week', d) AS DATE) AS week_start, min(name) AS holiday_name FROM ({days}) GROUP BY 1)"""
 
 
 WEEKS = [f"""dated AS MATERIALIZED (

@@ -10,7 +10,7 @@ from ..operators import calendar as C
 from ..operators.decompose import decompose
 from ..operators.reshape import pivot_wide, unpivot_metrics
 from . import oracle as O
-from .chain import SERIES_METRICS
+from .chain import SCORES, SERIES_METRICS, wide_scores
 from .queries_series import market_series_df
 from .registry import register
 from .standins import table
@@ -46,17 +46,11 @@ def detections_df(spark, sf_dir, series=None, **options):
                               parts=parts, **options)
 
 
-PIVOT_AGGS = {alias: src for alias, src in O.PIVOT_AGGS}
-
-
 def anomaly_wide_df(spark, sf_dir):
     """Series + detector output pivoted back to wide, left joined."""
     series = series_table(spark, sf_dir)
     det = detections_df(spark, sf_dir, series)
-    wide = pivot_wide(det, KEYS, "dim_metric_name", SERIES_METRICS, PIVOT_AGGS)
-    renames = {src: dst for m in SERIES_METRICS for src, dst in O.wide_names(m).items()}
-    wide = wide.select(*KEYS, *[F.col(s).alias(d) for s, d in renames.items()])
-    return series.join(wide, KEYS, "left")
+    return series.join(wide_scores(det), KEYS, "left")
 
 
 def _round_sql(cols: dict[str, int], others: list[str]) -> str:
@@ -97,7 +91,7 @@ _PIVOT_ROUND = {f"{a}_{m}": n for m in O.METRICS
     _PIVOT_ROUND, KEYS + [f"is_anomaly_{m}" for m in O.METRICS]) + " FROM pivoted"))
 def pivot_wide_q(spark, sf_dir):
     """4 max-aggregates x 5 listed metric names -> 20 columns."""
-    w = pivot_wide(detections_df(spark, sf_dir), KEYS, "dim_metric_name", SERIES_METRICS, PIVOT_AGGS)
+    w = pivot_wide(detections_df(spark, sf_dir), KEYS, "dim_metric_name", SERIES_METRICS, SCORES)
     return w.withColumns({c: F.round(c, n) for c, n in _PIVOT_ROUND.items()})
 
 
@@ -203,34 +197,11 @@ def regularise_series(spark, sf_dir):
                                ["n_orders", "cents"], fill={"n_orders": 0})
 
 
-def _nth_sql(y: str, m: int, wd: int, n: int) -> str:
-    first = f"make_date({y}, {m}, 1)"
-    return f"CAST({first} + CAST((({wd} - (dayofweek({first}) + 6) % 7 + 7) % 7 + {7 * (n - 1)}) AS INTEGER) AS DATE)"
-
-
-def _last_sql(y: str, m: int, wd: int) -> str:
-    last = f"last_day(make_date({y}, {m}, 1))"
-    return f"CAST({last} - CAST((((dayofweek({last}) + 6) % 7 - {wd} + 7) % 7) AS INTEGER) AS DATE)"
-
-
-def _holiday_sql() -> str:
-    parts = []
-    for name, m, rule, since in C.US_HOLIDAYS:
-        if rule[0] == "day":
-            d = f"make_date(year, {m}, {rule[1]})"
-        elif rule[0] == "nth":
-            d = _nth_sql("year", m, rule[1], rule[2])
-        else:
-            d = _last_sql("year", m, rule[1])
-        esc = name.replace("'", "''")
-        parts.append(f"SELECT year, '{esc}' AS holiday, {d} AS holiday_date FROM years WHERE year >= {since}")
-    return " UNION ALL ".join(parts)
+_HOLIDAYS = O.M.holiday_days("(SELECT min(o_orderdate) FROM orders)", "(SELECT max(o_orderdate) FROM orders)")
 
 
 @register("holiday_weeks", O.with_(
-    f"years AS (SELECT unnest(generate_series(year(min(o_orderdate)), year(max(o_orderdate)))) AS year FROM orders)",
-    f"hol AS ({_holiday_sql()})",
-    "cal AS (SELECT CAST(date_trunc('week', holiday_date) AS DATE) AS week_start, min(holiday) AS holiday_name, count(*) AS n_holidays FROM hol GROUP BY 1)",
+    f"cal AS (SELECT CAST(date_trunc('week', d) AS DATE) AS week_start, min(name) AS holiday_name, count(*) AS n_holidays FROM ({_HOLIDAYS}) GROUP BY 1)",
     f"weeks AS (SELECT DISTINCT {_WEEKS} AS dim_collected_date FROM orders)",
     select="""SELECT w.dim_collected_date, c.holiday_name IS NOT NULL AS is_holiday_week, c.holiday_name,
                      coalesce(c.n_holidays, 0) AS n_holidays
