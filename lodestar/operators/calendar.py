@@ -7,7 +7,7 @@ calendar with all series.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -24,14 +24,16 @@ def date_spine(df: DataFrame, date_col: str, *, step_days: int = 7,
 def regularise_series(df: DataFrame, ids: list[str], date_col: str, values: list[str], *,
                       step_days: int = 7, fill: dict[str, object] | None = None) -> DataFrame:
     """Insert the missing dates of each series (values NULL, or ``fill``)
-    and add ``is_filled`` for the inserted rows."""
-    spine = date_spine(df, date_col, step_days=step_days, ids=ids)
-    j = spine.join(df.select(*ids, date_col, *values).withColumn("__have", F.lit(True)),
-                   ids + [date_col], "left")
-    cols = {v: F.coalesce(F.col(v), F.lit(fill[v])) if fill and v in fill else F.col(v)
-            for v in values}
-    return j.select(*ids, date_col, *[c.alias(v) for v, c in cols.items()],
-                    F.col("__have").isNull().alias("is_filled"))
+    and add ``is_filled`` for the inserted rows.  Every row brings the dates up
+    to the next one of its series, so one window does it, without a join."""
+    w = Window.partitionBy(*ids).orderBy(date_col)
+    upto = F.greatest(F.date_sub(F.lead(date_col).over(w), step_days), F.col(date_col))
+    dates = F.sequence(F.col(date_col), F.coalesce(upto, F.col(date_col)), F.make_interval(days=F.lit(step_days)))
+    rows = df.where(F.col(date_col).isNotNull()).select(*ids, date_col, *values, dates.alias("__dates"))
+    j = rows.select(*ids, *values, F.posexplode("__dates").alias("__pos", date_col))
+    cols = {v: F.when(F.col("__pos") == 0, F.col(v)) for v in values}
+    cols = {v: F.coalesce(c, F.lit(fill[v])) if fill and v in fill else c for v, c in cols.items()}
+    return j.select(*ids, date_col, *[c.alias(v) for v, c in cols.items()], (F.col("__pos") > 0).alias("is_filled"))
 
 
 # US federal holidays as (name, month, rule, first year).
@@ -69,16 +71,20 @@ def _holiday_date(year: Column, month: int, rule) -> Column:
     return F.date_sub(last, back.cast("int"))
 
 
+def holidays_of(year: Column) -> Column:
+    """The holidays of a year as an array of (holiday, holiday_date); the date
+    is NULL before a holiday's first year."""
+    return F.array(*[F.struct(F.lit(name).alias("holiday"),
+                              F.when(year >= since, _holiday_date(year, m, rule)).alias("holiday_date"))
+                     for name, m, rule, since in US_HOLIDAYS])
+
+
 def holiday_calendar(df: DataFrame, date_col: str) -> DataFrame:
     """Holidays of every year spanned by ``df[date_col]``:
     (year, holiday, holiday_date, week_start)."""
     years = df.agg(F.year(F.min(date_col)).alias("__y0"), F.year(F.max(date_col)).alias("__y1"))
     ys = years.select(F.explode(F.sequence("__y0", "__y1")).alias("year"))
-    rows = F.array(*[F.struct(F.lit(name).alias("holiday"),
-                              F.when(F.col("year") >= since, _holiday_date(F.col("year"), m, rule))
-                              .alias("holiday_date"))
-                     for name, m, rule, since in US_HOLIDAYS])
-    h = ys.select("year", F.explode(rows).alias("h")).select("year", "h.holiday", "h.holiday_date")
+    h = ys.select("year", F.explode(holidays_of(F.col("year"))).alias("h")).select("year", "h.holiday", "h.holiday_date")
     h = h.where(F.col("holiday_date").isNotNull())
     return h.withColumn("week_start", F.date_trunc("week", F.col("holiday_date")).cast("date"))
 

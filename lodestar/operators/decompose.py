@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions._util import q as _q
-from .calendar import holiday_calendar, regularise_series
+from .calendar import holidays_of, regularise_series
 
 NORMAL_MEDIAN = 0.6744897501960817  # median of |standard normal|
 TRICKLE = 1e-6  # least spread of weeks, by weight, that holds a line
@@ -68,26 +68,28 @@ def weekly_spine(long: DataFrame, ids: list[str], ts: str, value: str) -> DataFr
 
 
 def with_holidays(weeks: DataFrame) -> DataFrame:
-    """Adds ``__holiday``: the first holiday by name in the week's seven days
-    from its Monday, else NULL.  The calendar has about eleven rows a year,
-    which bounds the broadcast."""
-    cal = holiday_calendar(weeks, "__week").groupBy("week_start").agg(F.min("holiday").alias("__holiday"))
+    """Adds ``__holiday``: the first holiday by name in the seven days from the
+    week's Monday, else NULL.  The rules of the two years that the days may
+    fall in are evaluated in place, without a calendar to join."""
     monday = F.date_trunc("week", F.col("__week")).cast("date")
-    return weeks.join(F.broadcast(cal), monday == F.col("week_start"), "left").drop("week_start")
+    days = F.array_union(holidays_of(F.year(monday)), holidays_of(F.year(F.date_add(monday, 6))))
+    return weeks.withColumn("__holiday", F.array_min(F.transform(
+        F.filter(days, lambda h: h["holiday_date"].between(monday, F.date_add(monday, 6))), lambda h: h["holiday"])))
 
 
 def level_cuts_sql(n: str, prefix: str, noise: str, penalty: float, least: int) -> str:
     """SQL text for the segments (a, b] of the observed weeks 1..n.
 
     ``prefix`` names an array whose element k + 1 holds (s, q): the sums of
-    the first k centred values and of their squares."""
-    spread = f"greatest(0D, e.q - p.q - pow(e.s - p.s, 2) / (t - i)) / {noise}"
+    the first k centred values and of their squares.  Costs are compared to
+    six decimals, ties going to the earlier cut."""
+    spread = f"greatest(0D, e.q - p.q - (e.s - p.s) * (e.s - p.s) / (t - i)) / {noise}"
     price = f"({penalty!r}D * ln({n}))"
     step = let("e", f"element_at({prefix}, t + 1)", let(
         "best", f"array_min(transform(slice({prefix}, 1, t - {least - 1}), (p, i) -> named_struct("
-                f"'c', round(a.f[i] + {spread} + {price}, 6), 's', i)))",
+                f"'c', floor((a.f[i] + {spread} + {price}) * 1e6D + 0.5D) / 1e6D, 's', i)))",
         "named_struct('f', concat(a.f, array(best.c)), 'b', concat(a.b, array(best.s)))"))
-    start = (f"named_struct('f', concat(array(round(-{price}, 6)), array_repeat(1e300D, {least - 1})), "
+    start = (f"named_struct('f', concat(array(floor(-{price} * 1e6D + 0.5D) / 1e6D), array_repeat(1e12D, {least - 1})), "
              f"'b', array_repeat(0, {least}))")
     back = (f"aggregate(sequence(1, {n}), named_struct('at', {n}, 'cuts', slice(array(0), 1, 0)), (w, i) -> "
             f"if(w.at <= 0, w, named_struct('at', element_at(run.b, w.at + 1), "
@@ -181,7 +183,7 @@ def decompose(long: DataFrame, ids: list[str], ts: str, value: str, *, span: int
     gaps too; a gap's remainder is NULL."""
     weeks = with_holidays(weekly_spine(long, ids, ts, value))
     # a fixed number of partitions: change points are work, not bytes
-    weeks = weeks.repartition(2 * long.sparkSession.sparkContext.defaultParallelism, *ids)
+    weeks = weeks.repartition(long.sparkSession.sparkContext.defaultParallelism, *ids)
     first = weeks.selectExpr("*", "coalesce(__value, 0D) AS __x0", "least(weekofyear(__week), 52) AS __phase",
                              "CASE WHEN __value IS NULL THEN 0D ELSE 1D END AS __w")
     first = _smooth(first, ids, span, min_cycles, period).selectExpr(

@@ -107,13 +107,13 @@ LEVELS = [f"""plain AS MATERIALIZED (
         FROM plain GROUP BY {_I}) USING ({_I})
   GROUP BY {_I})""",
           f"""op AS (
-  SELECT {_I}, 8 AS t, list_concat([round(-6.0 * ln(n), 6)], list_transform(range(7), lambda i: 1e300)) AS f,
+  SELECT {_I}, 8 AS t, list_concat([floor(-6.0 * ln(n) * 1e6 + 0.5) / 1e6], list_transform(range(7), lambda i: 1e12)) AS f,
          list_transform(range(8), lambda i: CAST(0 AS BIGINT)) AS b
   FROM op_in WHERE n >= 16 AND var > 0
   UNION ALL
   SELECT {_I}, t + 1, list_append(f, best.c), list_append(b, best.s) FROM (
-    SELECT o.*, list_min(list_transform(range(t - 8 + 1), lambda s: {{'c': round(o.f[s + 1]
-        + greatest(0.0, i.qq[t + 1] - i.qq[s + 1] - pow(i.ss[t + 1] - i.ss[s + 1], 2) / (t - s)) / i.var + 6.0 * ln(i.n), 6), 's': s}})) AS best
+    SELECT o.*, list_min(list_transform(range(t - 8 + 1), lambda s: {{'c': floor((o.f[s + 1]
+        + greatest(0.0, i.qq[t + 1] - i.qq[s + 1] - (i.ss[t + 1] - i.ss[s + 1]) * (i.ss[t + 1] - i.ss[s + 1]) / (t - s)) / i.var + 6.0 * ln(i.n)) * 1e6 + 0.5) / 1e6, 's': s}})) AS best
     FROM op o JOIN op_in i USING ({_I}) WHERE t <= i.n) o)""",
           f"""cuts AS (
   SELECT o.{_I.replace(', ', ', o.')}, i.n AS b, o.b[i.n + 1] AS a, o.b AS back FROM op o JOIN op_in i USING ({_I}) WHERE o.t = i.n + 1
