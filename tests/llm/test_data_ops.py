@@ -372,4 +372,4 @@ def test_pipeline_stages(spark):
 
 def test_queries_are_registered():
     assert sorted(LLM_QUERIES) == sorted(["pipeline", *(n for n in LLM_QUERIES if n.startswith("op"))])
-    assert {n.split("_")[0] for n in LLM_QUERIES if n != "pipeline"} == {f"op{i}" for i in range(1, 11)}
+    assert {n.split("_")[0] for n in LLM_QUERIES if n != "pipeline"} == {f"op{i}" for i in range(1, 14)}
