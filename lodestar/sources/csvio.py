@@ -34,6 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions._util import q as _q
+from ..session import ship_package
 
 CSV_OPTIONS = {"header": "true", "quote": '"', "escape": '"', "multiLine": "true",
                "nullValue": "", "emptyValue": ""}
@@ -165,6 +166,7 @@ def read_snapshots(spark: SparkSession, path: str | list[str], glob: str = ".csv
     paths = list(snapshot_files(spark, path, glob).values()) if isinstance(path, str) else list(path)
     if not paths:
         return spark.createDataFrame([], T.StructType([]))
+    ship_package(spark)  # the tasks import this module
     lines = _lines(spark, paths)
     splits = sorted(_splits(lines), key=lambda r: (r["file"], r["block"]))
     headers: dict[str, int] = {}

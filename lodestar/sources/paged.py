@@ -22,6 +22,7 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, In, In
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from ..functions._util import q as _q
+from ..session import ship_package
 
 PAGE_LIMIT = 500
 
@@ -131,6 +132,7 @@ def paged_source(spark: SparkSession, fetch: Callable, keys: list, ddl: str, *,
                 "key_column": key_column, "limit": int(limit), "strides": int(strides), "_name": name,
                 "pushdown": pushdown, "params": dict(params or {}),
                 "counts": None if counts is None else dict(counts), "pages_per_task": int(pages_per_task)})
+    ship_package(spark)  # the tasks import this module
     spark.dataSource.register(cls)
     return spark.read.format(name).load()
 
