@@ -383,10 +383,10 @@ def chain_run(spark, sf_dir):
     raw_dir, wh = scratch_path(spark, "raw"), scratch_path(spark, "wh")
     raw = raw_listings(spark, sf_dir)
     early = F.coalesce(parse_date_fn("collected_date") < F.lit(_SPLIT).cast("date"), F.lit(True))
-    csvio.write_snapshot(raw.where(early), f"{raw_dir}/19980531")
+    csvio.write_snapshot(raw.where(early), f"{raw_dir}/19980531", compression="gzip")
     args = dict(target_zip=TARGET_ZIP, centre_lon=TARGET_LON, centre_lat=TARGET_LAT)
     run_chain(spark, raw_dir, wh, AS_OF, **args)
-    csvio.write_snapshot(raw.where(~early).drop("hoa"), f"{raw_dir}/20010805")
+    csvio.write_snapshot(raw.where(~early).drop("hoa"), f"{raw_dir}/20010805", compression="gzip")
     from .queries_models import _WIDE_ROUND
     out = run_chain(spark, raw_dir, wh, AS_OF, **args)["anomalies"]
     rnd = dict(_WIDE_ROUND, met_price_per_sqft_avg=6)

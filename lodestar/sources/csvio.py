@@ -43,10 +43,12 @@ WRITE_OPTIONS = {"header": "true", "quote": '"', "escape": '"', "nullValue": "",
                  "quoteAll": "false"}
 
 
-def write_snapshot(df: DataFrame, path: str, *, partition_col: str | None = None) -> bool:
+def write_snapshot(df: DataFrame, path: str, *, partition_col: str | None = None,
+                   compression: str = "none") -> bool:
     """Write ``df`` as CSV with a header; an empty input writes nothing and
     leaves what is there.  With ``partition_col``, each value is its own folder
-    and a rerun of the same value replaces only that folder.
+    and a rerun of the same value replaces only that folder.  Files with
+    ``compression`` ("gzip") are read whole by a task each.
 
     The rows are computed once: they are counted while they are written beside
     the target, and moved into place if there are any."""
@@ -56,7 +58,7 @@ def write_snapshot(df: DataFrame, path: str, *, partition_col: str | None = None
     fs = Path(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     staged = f"{path.rstrip('/')}.{uuid.uuid4().hex}"
     seen = Observation()
-    w = df.observe(seen, F.count(F.lit(1)).alias("n")).write.options(**WRITE_OPTIONS)
+    w = df.observe(seen, F.count(F.lit(1)).alias("n")).write.options(**WRITE_OPTIONS, compression=compression)
     (w.partitionBy(partition_col) if partition_col else w).csv(staged)
     try:
         if not seen.get["n"]:
@@ -76,8 +78,8 @@ def write_snapshot(df: DataFrame, path: str, *, partition_col: str | None = None
 
 
 def snapshot_files(spark: SparkSession, path: str, suffix: str = ".csv") -> dict[str, str]:
-    """Files below ``path`` by a key of their own: the path below it, the size
-    and the time of writing.  A file written anew has a new key."""
+    """Files below ``path``, gzipped ones too, by a key of their own: the path
+    below it, the size and the time of writing.  A file written anew has a new key."""
     jvm = spark.sparkContext._jvm
     top = jvm.org.apache.hadoop.fs.Path(path)
     fs = top.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
@@ -89,7 +91,7 @@ def snapshot_files(spark: SparkSession, path: str, suffix: str = ".csv") -> dict
         f = files.next()
         name = f.getPath().toString()
         below = name[len(root):]
-        if name.endswith(suffix) and not any(x.startswith((".", "_")) and "=" not in x for x in below.split("/")):
+        if name.endswith((suffix, f"{suffix}.gz")) and not any(x.startswith((".", "_")) and "=" not in x for x in below.split("/")):
             found[f"{below}|{f.getLen()}|{f.getModificationTime()}"] = name
     return dict(sorted(found.items()))
 
