@@ -1,10 +1,14 @@
 """License notices by conditional compression.
 
 Blocks of text around what speaks of a license reach as far as the longest
-template to both sides.  Each template that has enough of its words in a block
-is compared with it word by word; a stretch where few words differ is compressed
-by zstandard alone and with the template as a raw dictionary, and is its notice
-if the template shortens it.  Stretches found are taken out before the next.
+template to both sides.  Each block is compressed by zstandard alone and with
+each template as a raw dictionary, and the templates are ranked by the bytes
+they save.  In that order they are confirmed by their wording: the stretch of
+the block that comes nearest to a template word by word, where few words may
+differ.  A confirmed stretch is compressed by itself in the same two ways; of
+those that overlap the one whose template saves most bytes is the notice, and
+none is that its template does not shorten.  Stretches found are taken out
+before the next.
 """
 
 from __future__ import annotations
@@ -136,53 +140,68 @@ class Scanner:
         # words of the longest stretch that can be confirmed
         self.reach = max((int(len(t[2]) * (1 + most)) + 1 for t in self.templates.values()), default=0)
 
+    def _ranked(self, words: list[str]) -> list[str]:
+        """Templates by the bytes they save in a block as dictionaries, most first."""
+        data = " ".join(words).encode("utf-8", "replace")
+        sizes = {name: len(low.compress(data)) for name, (_, low, _) in self.templates.items()}
+        return sorted(sizes, key=lambda name: (sizes[name], name))
+
     def _sizes(self, name: str, text: str):
-        """(bytes alone, bytes with its template) of a stretch, or None if the
-        template does not shorten it, upper and lower case aside."""
+        """(bytes saved, bytes alone, bytes with its template) of a stretch, or
+        None if the template does not shorten it, upper and lower case aside."""
         z, low, _ = self.templates[name]
         data = text.lower().encode("utf-8", "replace")
         plain = len(self.alone.compress(data))
-        if (plain - len(low.compress(data))) / plain < self.least:
+        saved = plain - len(low.compress(data))
+        if saved / plain < self.least:
             return None
         data = text.encode("utf-8", "replace")
-        return len(self.alone.compress(data)), len(z.compress(data))
+        return saved, len(self.alone.compress(data)), len(z.compress(data))
+
+    @staticmethod
+    def _bounds(text: str, spans: list[tuple[int, int]], a: int, b: int) -> tuple[int, int]:
+        """First character and end of words ``a`` to ``b`` with the marks at both ends."""
+        start, end = spans[a][0], spans[b - 1][1]
+        while start > (spans[a - 1][1] if a else 0) and not text[start - 1].isspace():
+            start -= 1
+        while end < (spans[b][0] if b < len(spans) else len(text)) and not text[end].isspace():
+            end += 1
+        return start, end
 
     def _piece(self, text: str, spans: list[tuple[int, int]], words: list[str], last: bool):
         """(first word, end, license, bytes alone, bytes with its template, number
-        of differences, differences) of the notices in a piece.  Of stretches
-        that overlap the one with most words of its template is taken.  Those
-        that begin within the overlap with the next piece are left to it."""
+        of differences, differences) of the notices in a piece.  Those that
+        begin within the overlap with the next piece are left to it."""
         words, out, best = list(words), [], {}
-        todo = set(self.templates)
+        ranked = self._ranked(words)
+        todo = set(ranked)
         while todo or best:
             have = Counter(words) if todo else None
-            for name in todo:
+            for rank, name in enumerate(ranked):
+                if name not in todo:
+                    continue
                 template = self.templates[name][2]
                 most = self.most * len(template)
                 if sum(max(0, n - have[w]) for w, n in self.counts[name].items()) > most:
                     continue
                 n, a, b, what = stretch(template, words)
                 if n <= most and b > a:
-                    best[name] = (n - len(template), n, a, name, b, what)
+                    start, end = self._bounds(text, spans, a, b)
+                    sizes = self._sizes(name, " ".join(text[start:end].split()))
+                    best[name] = (-sizes[0] if sizes else 0, rank, n, a, name, b, what, start, sizes)
             todo = set()
             if not best:
                 break
-            _, n, a, name, b, what = min(best.values())
-            # with the marks at both ends, white space folded
-            start, end = spans[a][0], spans[b - 1][1]
-            while start > (spans[a - 1][1] if a else 0) and not text[start - 1].isspace():
-                start -= 1
-            while end < (spans[b][0] if b < len(spans) else len(text)) and not text[end].isspace():
-                end += 1
+            _, _, n, a, name, b, what, start, sizes = min(best.values())
             if not last and a >= len(words) - self.reach:
                 pass
-            elif sizes := self._sizes(name, " ".join(text[start:end].split())):
-                out.append((a, b, start, name, *sizes, n, what))
+            elif sizes:
+                out.append((a, b, start, name, *sizes[1:], n, what))
             else:  # not this template's: others may still be found there
                 del best[name]
                 continue
             words[a:b] = [""] * (b - a)
-            todo = {k for k, (_, _, x, _, y, _) in best.items() if x < b and a < y}
+            todo = {k for k, x in best.items() if x[3] < b and a < x[5]}
             for k in todo:
                 del best[k]
         return out
