@@ -71,14 +71,15 @@ def _segment(column, i: int):
     return F.shiftrightunsigned(column, at).bitwiseAND(F.lit((1 << bits) - 1))
 
 
-def _labelled(nodes: DataFrame, edges: DataFrame) -> DataFrame:
-    found = components(edges).withColumnRenamed("node", "fp")
-    joined = nodes.drop("label").join(found, "fp", "left")
-    return cut(joined.withColumn("label", F.coalesce("component", "fp")).drop("component"), "simhash-nodes")
+def _labelled(nodes: DataFrame, links: DataFrame) -> DataFrame:
+    """Nodes whose labels are joined by ``links`` (a, b) between labels."""
+    found = components(links).withColumnRenamed("node", "label")
+    joined = nodes.join(found, "label", "left")
+    return cut(joined.withColumn("label", F.coalesce("component", "label")).drop("component"), "simhash-nodes")
 
 
 def _pivot_edges(nodes: DataFrame, distance: int, turn: int) -> DataFrame:
-    """Links of fingerprints to the pivot of each of their segments' buckets."""
+    """Links of labels to that of the pivot of each of their fingerprints' buckets."""
     weight = F.col("n") if turn == 0 else F.xxhash64("fp", F.lit(turn))
     filed = nodes.select("fp", "label", F.explode(F.array(*[
         F.struct(F.lit(i).alias("i"), _segment(F.col("fp"), i).alias("v")) for i in range(3)])).alias("s"),
@@ -86,7 +87,7 @@ def _pivot_edges(nodes: DataFrame, distance: int, turn: int) -> DataFrame:
     pivot = filed.groupBy("s").agg(F.max(F.struct("weight", "fp", "label")).alias("p")).select(
         "s", F.col("p.fp").alias("pivot"), F.col("p.label").alias("pivot_label"))
     near = (F.col("label") != F.col("pivot_label")) & (_differ("fp", "pivot") <= distance)
-    return filed.join(pivot, "s").filter(near).select(F.col("fp").alias("a"), F.col("pivot").alias("b"))
+    return filed.join(pivot, "s").filter(near).select(F.col("label").alias("a"), F.col("pivot_label").alias("b"))
 
 
 def link(nodes: DataFrame, distance: int = DISTANCE) -> DataFrame:
@@ -94,11 +95,8 @@ def link(nodes: DataFrame, distance: int = DISTANCE) -> DataFrame:
     if not 0 <= distance < 2 * len(SEGMENTS):
         raise ValueError("the segments' balls of one bit reach 5 differing bits at most")
     nodes = cut(nodes.withColumn("label", F.col("fp")), "simhash-nodes")
-    links = None
     for turn in range(PIVOT_ROUNDS):
-        edges = cut(_pivot_edges(nodes, distance, turn), "simhash-links")
-        links = edges if links is None else links.union(edges)
-        nodes = _labelled(nodes, links)
+        nodes = _labelled(nodes, _pivot_edges(nodes, distance, turn))
 
     # the whole look-up: own segment values against all values within one bit
     own = [F.struct(F.lit(i).alias("i"), _segment(F.col("fp"), i).alias("v")) for i in range(3)]
@@ -110,7 +108,7 @@ def link(nodes: DataFrame, distance: int = DISTANCE) -> DataFrame:
         asked.select("b", "label_b", "s.*").hint("merge"),
         ["i", "v"]).filter((F.col("a") < F.col("b")) & (F.col("label_a") != F.col("label_b"))
                            & (_differ("a", "b") <= distance))
-    return _labelled(nodes, links.union(cut(found.select("a", "b").distinct(), "simhash-links")))
+    return _labelled(nodes, found.select(F.col("label_a").alias("a"), F.col("label_b").alias("b")))
 
 
 def groups(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = ("doc_id",), words: int = SHINGLE,

@@ -81,6 +81,37 @@ def test_components_of_a_chain(spark):
     assert all(got[i] == 0 for i in range(1, 201)) and got[501] == 500
 
 
+def test_components_of_many_chunks(spark):
+    rng = np.random.default_rng(5)
+    edges = [(i, i + 1) for i in range(300)] + [(int(a), int(b)) for a, b in rng.integers(1000, 1600, (400, 2))]
+    root = {}
+
+    def find(i):
+        while root.setdefault(i, i) != i:
+            i = root[i]
+        return i
+
+    for a, b in edges:
+        a, b = sorted((find(a), find(b)))
+        root[b] = a
+    frame = spark.createDataFrame(edges, "a long, b long").repartition(7)
+    got = components(frame, task_edges=50).collect()
+    assert sorted((r.node, r.component) for r in got) == sorted((i, find(i)) for i in root if find(i) != i)
+
+
+def test_simhash_link_in_few_jobs(spark):
+    """A chain and a dense group do not take a round of jobs for each step."""
+    prints = {0} | {(1 << i) - 1 for i in range(60)} | {(1 << 63) - 1 ^ 1 << i ^ 1 << j for i in range(60) for j in range(i)}
+    nodes = spark.createDataFrame([(p, 1) for p in sorted(prints)], "fp long, n long")
+    spark.sparkContext.setJobGroup("simhash-few", "")
+    try:
+        label = {r.fp: r.label for r in simhash.link(nodes).collect()}
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert label == {p: 0 for p in prints}
+    assert len(spark.sparkContext.statusTracker().getJobIdsForGroup("simhash-few")) < 80
+
+
 def test_simhash_odd_and_one_of_each(spark, odd_docs, no_docs):
     got = simhash.near_duplicates(odd_docs).collect()
     assert len(got) == 9
