@@ -16,6 +16,7 @@ q-word sequences, and a shared one also tells where the window lies.
 from __future__ import annotations
 
 import re
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -80,16 +81,35 @@ def embed(windows: np.ndarray, lengths: np.ndarray, seeds: np.ndarray, sampled:
 
 def edit_distance_within(item: np.ndarray, text: np.ndarray) -> tuple[int, int]:
     """Least edit distance of ``item`` to any stretch of ``text``, and where
-    the first such stretch ends."""
-    place = np.arange(len(text) + 1)
-    row = np.zeros(len(text) + 1, np.int64)
-    for i, word in enumerate(item):
-        new = np.empty_like(row)
-        new[0] = i + 1
-        new[1:] = np.minimum(row[:-1] + (text != word), row[1:] + 1)
-        row = np.minimum.accumulate(new - place) + place
-    end = int(row.argmin())
-    return int(row[end]), end
+    the first such stretch ends.
+
+    A column of the table is kept as two bit strings, the places where it
+    rises and where it falls (Myers), so a word of the text takes a few steps.
+    """
+    n = len(item)
+    if not n:
+        return 0, 0
+    places: dict[int, int] = {}
+    for i, word in enumerate(item.tolist()):
+        places[word] = places.get(word, 0) | 1 << i
+    full, last = (1 << n) - 1, 1 << (n - 1)
+    rise, fall, now = full, 0, n
+    best, end = n, 0
+    for j, word in enumerate(text.tolist(), 1):
+        same = places.get(word, 0)
+        down = same | fall
+        across = ((same & rise) + rise ^ rise) | same
+        up, less = fall | full & ~(across | rise), rise & across
+        if up & last:
+            now += 1
+        elif less & last:
+            now -= 1
+            if now < best:
+                best, end = now, j
+        up <<= 1
+        rise = full & (less << 1 | ~(down | up))
+        fall = full & up & down
+    return best, end
 
 
 class Block:
@@ -215,7 +235,7 @@ class Block:
         sizes = np.array([len(x) for x in texts], np.int64)
         end = np.cumsum(sizes)
         begin = end - sizes
-        ids = np.fromiter((get(w, 0) for x in texts for w in x), np.int64, int(sizes.sum()))
+        ids = np.fromiter(map(get, chain.from_iterable(texts), repeat(0)), np.int64, int(sizes.sum()))
         doc = np.repeat(np.arange(len(texts)), sizes)
         where, lengths = self._windows(ids, doc, begin, end)
         for lo in range(0, len(where), 4096):
