@@ -1,9 +1,12 @@
 """Operators do the whole of their named work."""
 
+import time
+
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from lodestar.llm import brown_lm, chat_format, license_scan, toxicity
+from lodestar.llm import brown_lm, chat_format, decontam, license_scan, toxicity
 
 
 def test_chat_digest_reads_expanded_examples(spark):
@@ -54,3 +57,50 @@ def test_brown_may_cluster_every_word(spark, monkeypatch):
     train = spark.createDataFrame([(1, "a b a b c d e f g"), (2, "b a b a")], "doc_id long, text string")
     brown_lm.score(train, train, classes=2, sweeps=1, clustered=10**6, looked_up=2).count()
     assert seen == [8]
+
+
+def test_edit_distance_within_is_the_tables_and_quicker():
+    """op2 spent two thirds of its search in this distance."""
+    def table(item, text):
+        place, row = np.arange(len(text) + 1), np.zeros(len(text) + 1, np.int64)
+        for i, word in enumerate(item):
+            new = np.empty_like(row)
+            new[0] = i + 1
+            new[1:] = np.minimum(row[:-1] + (text != word), row[1:] + 1)
+            row = np.minimum.accumulate(new - place) + place
+        return int(row.min()), int(row.argmin())
+
+    def seconds(of):
+        began = time.process_time()
+        for _ in range(100):
+            of(item, text)
+        return time.process_time() - began
+
+    rng = np.random.default_rng(3)
+    for _ in range(400):
+        item, text = (rng.integers(0, 5, rng.integers(0, n)) for n in (90, 120))
+        assert decontam.edit_distance_within(item, text) == table(item, text)
+    item, text = rng.integers(0, 500, 40), rng.integers(0, 500, 56)
+    assert min(seconds(decontam.edit_distance_within) for _ in range(3)) < 0.6 * min(seconds(table) for _ in range(3))
+
+
+def test_op6_shuffles_texts_once(spark, monkeypatch):
+    """The labels are joined alike at any size; the words of all texts meet the
+    few that mark them (which the driver gets) without a shuffle."""
+    docs = spark.createDataFrame([(i, f"text {i} {'foul' if i % 2 else 'so'}", "en") for i in range(60)],
+                                 "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(60)], "doc_id long, toxic int")
+    stored, collected = [], []
+    cut, collect = toxicity.cut, type(docs).collect
+    monkeypatch.setattr(toxicity, "cut", lambda d, n: stored.append(d._jdf.queryExecution().analyzed().toString()) or cut(d, n))
+    monkeypatch.setattr(type(docs), "collect", lambda d: collected.append(
+        d._jdf.queryExecution().executedPlan().toString()) or collect(d))
+    monkeypatch.setattr(toxicity, "score", lambda d, model, **k: model)
+    size = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        model = toxicity.op6_query(docs, labels)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", size)
+    assert "foul" in model.weights and "strategy=merge" in stored[0]
+    assert any("BroadcastHashJoin" in p for p in collected) and not any("SortMergeJoin" in p for p in collected)
