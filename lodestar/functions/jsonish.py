@@ -68,6 +68,14 @@ def pydict_to_json(c, mode: str = "compat") -> Column:
     return F.try_parse_json(text)
 
 
+def repaired_text(c, repair: str | None = "compat") -> Column:
+    """Nested text as JSON text, by the named repair."""
+    x = as_col(c)
+    if repair == "compat":
+        return compat_text(x)
+    return strict_text(x) if repair == "strict" else x
+
+
 def json_scalar(c, path: str, *, repair: str | None = "compat") -> Column:
     """``json_extract_scalar``: the scalar at ``path`` as text; objects and
     arrays give NULL.  Python-repr input is repaired first (a bare ``None``
@@ -76,27 +84,20 @@ def json_scalar(c, path: str, *, repair: str | None = "compat") -> Column:
     The text is parsed once into a VARIANT (shared by every field read from
     the same column through common-subexpression elimination); a failed
     parse is NULL, not an exception per row."""
-    x = as_col(c)
-    if repair == "compat":
-        x = compat_text(x)
-    elif repair == "strict":
-        x = strict_text(x)
-    return variant_scalar(F.try_parse_json(x), path)
+    return variant_scalar(repaired_variant(c, repair), path)
 
 
 def repaired_variant(c, repair: str | None = "compat") -> Column:
     """Parse (repaired) text once into a VARIANT; NULL when invalid."""
-    x = as_col(c)
-    if repair == "compat":
-        x = compat_text(x)
-    elif repair == "strict":
-        x = strict_text(x)
-    return F.try_parse_json(x)
+    return F.try_parse_json(repaired_text(c, repair))
 
 
 def variant_scalar(v, path: str) -> Column:
-    """Scalar at ``path`` of a VARIANT as text; objects/arrays give NULL."""
+    """Scalar at ``path`` of a VARIANT as text; objects/arrays give NULL.
+    Their JSON begins with a bracket, so only a value that does is looked up
+    again by its type."""
     v = as_col(v)
+    s = F.try_variant_get(v, path, "string")
     nested = (F.try_variant_get(v, path, "map<string,variant>").isNotNull()
               | F.try_variant_get(v, path, "array<variant>").isNotNull())
-    return F.when(~nested, F.try_variant_get(v, path, "string"))
+    return F.when(~(s.startswith("{") | s.startswith("[")), s).when(~nested, s)

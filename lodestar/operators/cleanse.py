@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions.casts import parse_date, safe_cast
 from ..functions.geo import geo_point
-from ..functions.jsonish import pydict_to_json, repaired_variant, variant_scalar
+from ..functions.jsonish import repaired_text, variant_scalar
 
 
 @dataclass(frozen=True)
@@ -24,47 +24,57 @@ class Field:
     how: str | None = None      # lower | upper | yyyymmdd | json:<path>[:lower] | pydict | point
 
 
-def field_expr(f: Field, json_repair: str = "compat") -> Column:
-    if f.how == "point":
-        lon, lat = f.source
-        return geo_point(safe_cast(lon, "double"), safe_cast(lat, "double"))
-    src = F.col(f.source)
+_PARSED = "__parsed"
+
+
+def field_expr(f: Field, doubles: dict[str, Column], parsed: dict[str, Column]) -> Column:
+    """One field, from the raw columns, those cast to double and those parsed."""
+    def double(c):
+        return doubles[c] if c in doubles else safe_cast(c, "double")
+
     how = f.how or ""
-    if how == "yyyymmdd":
-        return parse_date(src, "yyyyMMdd")
+    if how == "point":
+        return geo_point(*map(double, f.source))
     if how == "pydict":
-        return pydict_to_json(safe_cast(src, "string"), json_repair)
+        return parsed[f.source]
     if how.startswith("json:"):
-        parts = how.split(":")
-        v = variant_scalar(F.col(_vcol(f.source)), parts[1])
-        if len(parts) > 2 and parts[2] == "lower":
-            v = F.lower(v)
-        return safe_cast(v, f.type)
+        _, path, *lower = how.split(":")
+        v = variant_scalar(parsed[f.source], path)
+        return safe_cast(F.lower(v) if lower else v, f.type)
+    src = F.col(f.source)
+    if how == "yyyymmdd":
+        return parse_date(src, "yyyyMMdd")
     if how == "lower":
         return safe_cast(F.lower(safe_cast(src, "string")), f.type)
     if how == "upper":
         return safe_cast(F.upper(safe_cast(src, "string")), f.type)
-    return safe_cast(src, f.type)
-
-
-def _vcol(source: str) -> str:
-    return f"__variant_{source.lower()}"
+    return double(f.source) if f.type == "double" else safe_cast(src, f.type)
 
 
 def typed_projection(df: DataFrame, spec: list[Field], json_repair: str = "compat") -> DataFrame:
     """Project raw columns (matched case-insensitively) to the typed spec.
     Each nested source column is repaired and parsed once; every path
-    reads that parsed value."""
-    lower = {c.lower(): c for c in df.columns}
+    reads that parsed value.
+
+    Nested texts are parsed, and texts cast to double, as an array each:
+    Spark compiles a projection with ``transform`` in parts, one of so many
+    columns without it to a single method too long for the JVM's compiler."""
+    kinds = {c.lower(): t for c, t in df.dtypes}
     missing = {s for f in spec for s in (f.source if isinstance(f.source, tuple) else (f.source,))
-               if s.lower() not in lower}
+               if s.lower() not in kinds}
     if missing:
         df = df.withColumns({m: F.lit(None).cast("string") for m in sorted(missing)})
-    nested = sorted({f.source for f in spec if (f.how or "").startswith("json:")})
+    nested = sorted({f.source for f in spec if (f.how or "").startswith(("json:", "pydict"))})
     if nested:
-        df = df.withColumns({_vcol(s): repaired_variant(safe_cast(s, "string"), json_repair)
-                             for s in nested})
-    return df.select(*[field_expr(f, json_repair).alias(f.target) for f in spec])
+        df = df.withColumn(_PARSED, F.transform(
+            F.array(*[repaired_text(safe_cast(s, "string"), json_repair) for s in nested]), F.try_parse_json))
+    texts = sorted({s for f in spec for s in (f.source if f.how == "point" else (f.source,))
+                    if (f.how == "point" or f.how is None and f.type == "double")
+                    and kinds.get(s.lower(), "string") == "string"})
+    cast = F.transform(F.array(*texts), lambda x: safe_cast(x, "double"))
+    doubles = {s: cast[i] for i, s in enumerate(texts)}
+    parsed = {s: F.col(_PARSED)[i] for i, s in enumerate(nested)}
+    return df.select(*[field_expr(f, doubles, parsed).alias(f.target) for f in spec])
 
 
 def _j(path: str, lower: bool = True) -> str:
