@@ -28,6 +28,10 @@ _AT_SPACE_AND_MARKS = re.compile(r"[ \n]*[^\W_]+|[ \n]*[^ \n]+|[ \n]+").findall
 _OTHER_SPACE = re.compile(r"[^\S \n]").search
 _MAY_JOIN = re.compile("[\u0130\u0300-\U0010ffff]").search
 _ODD_ASCII_SPACE = "\t\r\x0b\x0c\x1c\x1d\x1e\x1f"
+# marks after which no vocabulary looks back: all of ASCII but the apostrophe
+_MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
+_WORD = re.compile("(\n?)( ?)([A-Za-z\u00aa\u00b5\u00ba\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u02c1]+)([" + re.escape(_MARKS)
+                   + "]*)").fullmatch
 KEPT_PIECES = 500_000  # in each of two generations
 KEPT_LENGTH = 48
 TOGETHER = 1024  # new pieces that go to the library in one text
@@ -49,6 +53,11 @@ class PieceEncoder:
         kinds = json.dumps(json.loads(self.tokenizer.to_str())["normalizer"] or {})
         self.folds = self.tokenizer.model.end_of_word_suffix is not None and '"Lowercase"' in kinds
         self.model = self.tokenizer.model
+        # bytes as the characters that stand for them in both vocabularies
+        shown = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
+        as_char = {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(sorted({*range(256)} - {*shown}))}
+        self.in_bytes = {c: "".join(as_char[b] for b in chr(c).encode()) for c in range(0x80, 0x300)}
+        self.space, self.feed = "" if self.folds else as_char[32], self._library(["\n"])[0]
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
 
@@ -60,9 +69,11 @@ class PieceEncoder:
         joins = not plain and _MAY_JOIN(text)
         if self.folds and not joins and "<|" not in text:
             return text.lower().split()
-        if "  " in text or "\n\n" in text or " \n" in text or "\n " in text or "\0" in text:
+        feeds = "\n" in text
+        if "  " in text or "\0" in text or feeds and ("\n\n" in text or " \n" in text or "\n " in text):
             return (_AT_SPACE if joins else _AT_SPACE_AND_MARKS)(text)
-        return text.replace(" ", "\0 ").replace("\n", "\0\n").split("\0")
+        text = text.replace(" ", "\0 ")
+        return (text.replace("\n", "\0\n") if feeds else text).split("\0")
 
     def _library(self, texts: list[str]) -> list[bytes]:
         got = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
@@ -84,46 +95,59 @@ class PieceEncoder:
         return out
 
     def _new(self, pieces: set[str]) -> dict[str, bytes]:
-        """Ids of pieces not met lately.  A line feed before a word and the
-        marks after it are words of their own, so only what lies between has
-        to be new; plain letters are one word to the library's model."""
+        """Ids of pieces not met lately.  Letters, marks after them and a line
+        feed before them are words of their own: the library's model gives
+        their ids without its search for words."""
         known, older, here = self.known, self.older, {}
-        split, others, letters = [], set(), set()
+        tokenize, in_bytes, space, folds = self.model.tokenize, self.in_bytes, self.space, self.folds
+        others = []
+
+        def word(core: str, lead: str, letters: str) -> bytes:
+            if not letters.isascii():
+                letters = letters.translate(in_bytes)
+            ids = here[core] = array("I", [t.id for t in tokenize(space + letters if lead else letters)]).tobytes()
+            return ids
+
         for p in pieces:
-            if p in older or not p:
-                here[p] = older.get(p, b"")
+            if p in older:
+                here[p] = older[p]
+                continue
+            m = _WORD(p)
+            if m is None or folds and p != p.lower():
+                others.append(p)
+                continue
+            feed, lead, letters, marks = m.groups()
+            if not feed and not marks:
+                if p not in here:
+                    word(p, lead, letters)
                 continue
+            core = lead + letters
+            ids = known.get(core) or here.get(core) or older.get(core) or word(core, lead, letters)
+            if marks:
+                ids += known.get(marks) or here.get(marks) or older.get(marks) or word(marks, "", marks)
+            here[p] = self.feed + ids if feed else ids
+        split, cores = [], set()
+        for p in others:
             core = p.rstrip(".,;:!?")
             if not core or not core[-1].isalnum() or _MAY_JOIN(p):
                 core = p
-            rest = p[len(core):]
-            first = "\n" if core[0] == "\n" and len(core) > 1 and core[1] not in " \n" else ""
-            core = core[len(first):]
-            split.append((p, first, core, rest))
-            for part in (first, core, rest):
-                if not part or part in known:
-                    continue
-                if part in older:
-                    here[part] = older[part]
-                    continue
-                word = part[1:] if part[0] == " " else part
-                plain = word.isascii() and word.isalpha() and (word.islower() or not self.folds)
-                (letters if plain else others).add(part)
-        others = list(others)
-        here.update(zip(others, self._pieces(others)))
-        tokenize, folds = self.model.tokenize, self.folds
-        for part in letters:
-            word = part if part[0] != " " else part[1:] if folds else "\u0120" + part[1:]
-            here[part] = array("I", [t.id for t in tokenize(word)]).tobytes()
-        for p, first, core, rest in split:
-            if first or rest:
-                here[p] = b"".join([here[x] if x in here else known[x] for x in (first, core, rest) if x])
+            first = "\n" if core[:1] == "\n" and len(core) > 1 and core[1] not in " \n" else ""
+            parts = (first, core[len(first):], p[len(core):])
+            split.append((p, parts))
+            cores.update(x for x in parts if x and x not in known and x not in here)
+        for x in cores & older.keys():
+            here[x] = older[x]
+        left = [x for x in cores if x not in here]
+        here.update(zip(left, self._pieces(left)))
+        for p, parts in split:
+            if p not in here:
+                here[p] = b"".join([here[x] if x in here else known[x] for x in parts if x])
         return here
 
     def encode(self, texts: list[str]) -> list[bytes]:
         if len(self.known) > KEPT_PIECES:
             self.known, self.older = {}, self.known
-        known, older = self.known, self.older
+        known = self.known
         out: list[bytes | None] = [None] * len(texts)
         whole, parts, new = [], [], set()
         for i, text in enumerate(texts):
@@ -140,14 +164,14 @@ class PieceEncoder:
             except ValueError:
                 pass
             if missing:
-                missing = [(at, pieces[at]) for at in missing]
-                new.update([p for _, p in missing])
-                parts.append((i, got, missing))
+                words = [pieces[at] for at in missing]
+                new.update(words)
+                parts.append((i, got, missing, words))
             else:
                 out[i] = b"".join(got)
         here = self._new(new)
-        for i, got, missing in parts:
-            for at, p in missing:
+        for i, got, missing, words in parts:
+            for at, p in zip(missing, words):
                 got[at] = here[p]
             out[i] = b"".join(got)
         known.update((p, ids) for p, ids in here.items() if len(p) <= KEPT_LENGTH and (p[:1] != "\n" or p == "\n"))
