@@ -21,6 +21,7 @@ from itertools import chain, count
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,6 +30,7 @@ from .common import ints, small
 from .tokens import encoder
 
 SHARD_IDS = 1 << 20
+TEXT_BYTES = 4 << 20  # of texts encoded together
 RULES_A_ROUND = 4000
 LEAST = 8  # occurrences that make a pair worth a rule
 END_ID = 2
@@ -65,25 +67,31 @@ def compress(ids: np.ndarray, rounds: int | None = None, least: int = LEAST) ->
         narrow = first + n_rules + RULES_A_ROUND <= 1 << 16
         symbol, pair, bits = (np.uint16, np.uint32, 16) if narrow else (np.uint32, np.uint64, 32)
         x = x.astype(symbol, copy=n_rules == 0)
-        key = (x[:-1].astype(pair) << pair(bits)) | x[1:]
-        pairs = np.sort(key)
-        ends = np.append(np.nonzero(pairs[1:] != pairs[:-1])[0] + 1, len(pairs))
-        counts = np.diff(ends, prepend=0)
-        frequent = counts >= least
-        pairs, counts = pairs[ends[frequent] - 1], counts[frequent]
+        pairs = x[:-1].astype(pair) << pair(bits)
+        pairs |= x[1:]
+        pairs.sort()
+        many = pairs[least - 1:] == pairs[:max(len(pairs) - least + 1, 0)]
+        new = np.ones(len(pairs) + 1, bool)
+        np.not_equal(pairs[1:], pairs[:-1], out=new[1:-1])
+        begins = np.flatnonzero(many & new[:len(many)])
+        counts = np.flatnonzero(many & new[least:]) + least - begins
+        pairs = pairs[begins]
         picked = np.sort(pairs[_chosen(pairs >> pair(bits), pairs & pair((1 << bits) - 1), counts, RULES_A_ROUND)])
         if not len(picked):
             break
         symbols = first + n_rules
-        left, right = np.zeros(symbols, bool), np.zeros(symbols, bool)
-        left[picked >> pair(bits)] = True
-        right[picked & pair((1 << bits) - 1)] = True
-        at = np.nonzero(left[x[:-1]] & right[x[1:]])[0]
-        wanted = key[at]
-        found = np.searchsorted(picked, wanted)
-        found[found == len(picked)] = 0
-        hit = picked[found] == wanted
-        at, found = at[hit], found[hit]
+        rule = np.stack([picked >> pair(bits), picked & pair((1 << bits) - 1)], 1).astype(np.int64)
+        # rows for the left symbols of rules, columns for the right ones, and the rule, all from 1
+        (lefts, row), (rights, column) = (np.unique(side, return_inverse=True) for side in rule.T)
+        left, right = np.zeros(symbols, np.uint16), np.zeros(symbols, np.uint16)
+        left[lefts], right[rights] = np.arange(1, len(lefts) + 1), np.arange(1, len(rights) + 1)
+        of_pair = np.zeros((len(lefts) + 1, len(rights) + 1), np.uint16)
+        of_pair[row + 1, column + 1] = np.arange(1, len(picked) + 1)
+        rows, columns = left.take(x[:-1]), right.take(x[1:])
+        at = np.flatnonzero((rows != 0) & (columns != 0))
+        found = of_pair[rows[at], columns[at]]
+        hit = found != 0
+        at, found = at[hit], found[hit].astype(np.int64) - 1
         # in a run of one symbol every second place is taken
         same = x[at] == x[at + 1]
         if same.any():
@@ -97,7 +105,7 @@ def compress(ids: np.ndarray, rounds: int | None = None, least: int = LEAST) ->
         stay = np.ones(len(x), bool)
         stay[at + 1] = False
         x = x[stay]
-        rules.append(np.stack([picked >> pair(bits), picked & pair((1 << bits) - 1)], 1).astype(np.int64))
+        rules.append(rule)
         n_rules += len(picked)
     table = (np.concatenate(rules) if rules else np.zeros((0, 2), np.int64)).astype("<u4")
     size = 2 if first + n_rules <= 65536 else 4
@@ -188,11 +196,15 @@ def write_ids(docs: DataFrame, path: str, text: str = "text", key: str = "doc_id
                  pa.array([names], pa.list_(kind)), pa.array([[len(x) // 4 for x in coded]], pa.list_(pa.int32())),
                  pa.array([compress(ids)], pa.binary())], ["part", "start", "n_ids", "doc_id", "n_tokens", "shard"])
 
-        for batch in small(batches):
+        for batch in small(batches, 1024):
             kind = batch.column(0).type
-            keys, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for lo in range(0, len(texts), 256):
-                for name, ids in zip(keys[lo:lo + 256], coder.encode(texts[lo:lo + 256])):
+            ends = np.cumsum(ints(pc.binary_length(batch.column(1))).astype(np.int64))
+            lo = 0
+            while lo < len(ends):  # many texts at once, but of bounded size
+                hi = max(lo + 1, int(np.searchsorted(ends, (ends[lo - 1] if lo else 0) + TEXT_BYTES, "right")))
+                keys, texts = (c.slice(lo, hi - lo).to_pylist() for c in batch.columns)
+                lo = hi
+                for name, ids in zip(keys, coder.encode(texts)):
                     names.append(name)
                     coded.append(ids + end)
                     size += len(ids) // 4 + 1

@@ -11,7 +11,8 @@ case is such a pair, are cut at white space only.
 
 Two cuts need no pattern: where a vocabulary ignores case and white space, the
 lower-cased words; else, without two white space characters in a row (whose
-ids hang together), each word with the one before it.
+ids hang together), each word with the one before it.  Arrow makes these cuts
+and finds the distinct words of all texts given, so that Python meets each once.
 """
 
 from __future__ import annotations
@@ -20,8 +21,11 @@ import json
 import os
 import re
 from array import array
+from itertools import chain
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 _AT_SPACE = re.compile(r"[ \n]*[^ \n]+|[ \n]+").findall
 _AT_SPACE_AND_MARKS = re.compile(r"[ \n]*[^\W_]+|[ \n]*[^ \n]+|[ \n]+").findall
@@ -30,10 +34,11 @@ _MAY_JOIN = re.compile("[\u0130\u0300-\U0010ffff]").search
 _ODD_ASCII_SPACE = "\t\r\x0b\x0c\x1c\x1d\x1e\x1f"
 # marks after which no vocabulary looks back: all of ASCII but the apostrophe
 _MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
-_WORD = re.compile("(\n?)( ?)([A-Za-z\u00aa\u00b5\u00ba\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u02c1]+)([" + re.escape(_MARKS)
-                   + "]*)").fullmatch
+_LETTERS = "[A-Za-z\u00aa\u00b5\u00ba\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u02c1]+"
+_WORD = re.compile(f"( ?)({_LETTERS}|[" + re.escape(_MARKS) + "]+)").fullmatch
 KEPT_PIECES = 500_000  # in each of two generations
 KEPT_LENGTH = 48
+PARTS = 3  # of a piece: line feed, word, marks
 TOGETHER = 1024  # new pieces that go to the library in one text
 
 
@@ -57,23 +62,46 @@ class PieceEncoder:
         shown = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
         as_char = {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(sorted({*range(256)} - {*shown}))}
         self.in_bytes = {c: "".join(as_char[b] for b in chr(c).encode()) for c in range(0x80, 0x300)}
-        self.space, self.feed = "" if self.folds else as_char[32], self._library(["\n"])[0]
+        self.space = "" if self.folds else as_char[32]
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
 
-    def _cut(self, text: str) -> list[str] | None:
-        """The pieces of a text; None if it has to be encoded whole."""
+    def _cut(self, text: str) -> str | list[str] | None:
+        """A text whose pieces ``_split`` parts, or the pieces themselves; None
+        if it has to be encoded whole."""
         plain = text.isascii()
         if any(c in text for c in _ODD_ASCII_SPACE) if plain else _OTHER_SPACE(text):
             return None
         joins = not plain and _MAY_JOIN(text)
         if self.folds and not joins and "<|" not in text:
-            return text.lower().split()
+            return text.lower()
         feeds = "\n" in text
         if "  " in text or "\0" in text or feeds and ("\n\n" in text or " \n" in text or "\n " in text):
             return (_AT_SPACE if joins else _AT_SPACE_AND_MARKS)(text)
         text = text.replace(" ", "\0 ")
-        return (text.replace("\n", "\0\n") if feeds else text).split("\0")
+        text = text.replace("\n", "\0\n") if feeds else text
+        return text.split("\0") if self.folds else text
+
+    def _split(self, texts: pa.Array) -> pa.Array:
+        return pc.ascii_split_whitespace(texts) if self.folds else pc.split_pattern(texts, "\0")
+
+    @staticmethod
+    def _parts(pieces: pa.Array) -> pa.Array:
+        """Line feed, word and marks of each piece, where it is letters with a
+        line feed before or marks after them; else nothing, the piece, nothing."""
+        n = len(pieces)
+        begin = np.frombuffer(pieces.buffers()[1] or bytes(8), np.int64)[pieces.offset:pieces.offset + n + 1]
+        stems = pc.ascii_rtrim(pieces, characters=_MARKS)
+        length = pc.binary_length(stems).to_numpy()
+        feed = pc.starts_with(pieces, "\n").to_numpy(zero_copy_only=False)
+        odd = np.flatnonzero((length < np.diff(begin)) & (length > 0) | feed)
+        odd = odd[pc.match_substring_regex(stems.take(pa.array(odd)), f"^\n? ?{_LETTERS}$").to_numpy(zero_copy_only=False)]
+        cuts = np.empty(PARTS * n + 1, np.int64)
+        cuts[::PARTS] = begin
+        cuts[1::PARTS], cuts[2::PARTS] = begin[:-1], begin[1:]
+        cuts[PARTS * odd + 1] += feed[odd]
+        cuts[PARTS * odd + 2] = begin[odd] + length[odd]
+        return pa.LargeStringArray.from_buffers(PARTS * n, pa.py_buffer(cuts), pieces.buffers()[2])
 
     def _library(self, texts: list[str]) -> list[bytes]:
         got = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
@@ -94,38 +122,29 @@ class PieceEncoder:
                 start = end + 1
         return out
 
-    def _new(self, pieces: set[str]) -> dict[str, bytes]:
-        """Ids of pieces not met lately.  Letters, marks after them and a line
-        feed before them are words of their own: the library's model gives
-        their ids without its search for words."""
-        known, older, here = self.known, self.older, {}
-        tokenize, in_bytes, space, folds = self.model.tokenize, self.in_bytes, self.space, self.folds
-        others = []
-
-        def word(core: str, lead: str, letters: str) -> bytes:
-            if not letters.isascii():
-                letters = letters.translate(in_bytes)
-            ids = here[core] = array("I", [t.id for t in tokenize(space + letters if lead else letters)]).tobytes()
-            return ids
-
-        for p in pieces:
-            if p in older:
-                here[p] = older[p]
+    def _new(self, pieces: list[str]) -> dict[str, bytes]:
+        """Ids of pieces not met lately.  The library's model gives those of a
+        word, letters or marks alone, without its search for words."""
+        known, older, folds, in_bytes, space = self.known, self.older, self.folds, self.in_bytes, self.space
+        tokenize = self.model.tokenize
+        here, others = {}, []
+        for p, ids in zip(pieces, map(older.get, pieces)):
+            if ids is not None:
+                here[p] = ids
                 continue
-            m = _WORD(p)
-            if m is None or folds and p != p.lower():
+            if p.isascii() and p.isalpha():
+                lead, word = "", p
+            elif m := _WORD(p):
+                lead, word = m.groups()
+            else:
                 others.append(p)
                 continue
-            feed, lead, letters, marks = m.groups()
-            if not feed and not marks:
-                if p not in here:
-                    word(p, lead, letters)
+            if folds and word != word.lower():
+                others.append(p)
                 continue
-            core = lead + letters
-            ids = known.get(core) or here.get(core) or older.get(core) or word(core, lead, letters)
-            if marks:
-                ids += known.get(marks) or here.get(marks) or older.get(marks) or word(marks, "", marks)
-            here[p] = self.feed + ids if feed else ids
+            if not word.isascii():
+                word = word.translate(in_bytes)
+            here[p] = array("I", [t.id for t in tokenize(space + word if lead else word)]).tobytes()
         split, cores = [], set()
         for p in others:
             core = p.rstrip(".,;:!?")
@@ -149,32 +168,40 @@ class PieceEncoder:
             self.known, self.older = {}, self.known
         known = self.known
         out: list[bytes | None] = [None] * len(texts)
-        whole, parts, new = [], [], set()
+        whole, split, parts, listed, lists = [], [], [], [], []
         for i, text in enumerate(texts):
             pieces = self._cut(text)
             if pieces is None:
                 whole.append(i)
-                continue
-            got = list(map(known.get, pieces))
-            missing, at = [], -1
-            try:
-                while True:
-                    at = got.index(None, at + 1)
-                    missing.append(at)
-            except ValueError:
-                pass
-            if missing:
-                words = [pieces[at] for at in missing]
-                new.update(words)
-                parts.append((i, got, missing, words))
+            elif isinstance(pieces, str):
+                split.append(i)
+                parts.append(pieces)
             else:
-                out[i] = b"".join(got)
-        here = self._new(new)
-        for i, got, missing, words in parts:
-            for at, p in zip(missing, words):
-                got[at] = here[p]
-            out[i] = b"".join(got)
-        known.update((p, ids) for p, ids in here.items() if len(p) <= KEPT_LENGTH and (p[:1] != "\n" or p == "\n"))
+                listed.append(i)
+                lists.append(pieces)
+        found = self._split(pa.array(parts, pa.large_string()))
+        ends = np.cumsum([0, *found.value_lengths().to_pylist(), *map(len, lists)])
+        met = pa.concat_arrays([found.flatten(), pa.array(chain.from_iterable(lists), pa.large_string())]).dictionary_encode()
+        # each part of a piece is looked up once in these texts, however often it comes
+        parts = self._parts(met.dictionary).dictionary_encode()
+        words = parts.dictionary.to_numpy(zero_copy_only=False).tolist()
+        got = list(map(known.get, words))
+        missing = [at for at, ids in enumerate(got) if ids is None]
+        here = self._new([words[at] for at in missing])
+        for at in missing:
+            got[at] = here[words[at]]
+        for p in [p for p in here if len(p) > KEPT_LENGTH or p[:1] == "\n" and p != "\n"]:
+            del here[p]
+        known.update(here)
+        ids = pa.array(got, pa.large_binary()).take(parts.indices)
+        offsets = np.frombuffer(ids.buffers()[1] or bytes(8), np.int64)[:len(ids) + 1:PARTS]
+        ids = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(met.dictionary),
+                                               [None, pa.py_buffer(np.ascontiguousarray(offsets)), ids.buffers()[2]])
+        ids = ids.take(met.indices)
+        places = np.frombuffer(ids.buffers()[1] or bytes(8), np.int64)[ends].tolist()
+        raw = memoryview(ids.buffers()[2] or b"")
+        for i, start, end in zip(split + listed, places, places[1:]):
+            out[i] = raw[start:end].tobytes()
         for i, ids in zip(whole, self._library([texts[i] for i in whole])):
             out[i] = ids
         return out
