@@ -30,7 +30,7 @@ from .common import ints, small
 from .tokens import encoder
 
 SHARD_IDS = 1 << 20
-TEXT_BYTES = 4 << 20  # of texts encoded together
+TEXT_BYTES = 8 << 20  # of texts encoded together
 RULES_A_ROUND = 4000
 LEAST = 8  # occurrences that make a pair worth a rule
 END_ID = 2
@@ -196,7 +196,7 @@ def write_ids(docs: DataFrame, path: str, text: str = "text", key: str = "doc_id
                  pa.array([names], pa.list_(kind)), pa.array([[len(x) // 4 for x in coded]], pa.list_(pa.int32())),
                  pa.array([compress(ids)], pa.binary())], ["part", "start", "n_ids", "doc_id", "n_tokens", "shard"])
 
-        for batch in small(batches, 1024):
+        for batch in small(batches, 2560):
             kind = batch.column(0).type
             ends = np.cumsum(ints(pc.binary_length(batch.column(1))).astype(np.int64))
             lo = 0
