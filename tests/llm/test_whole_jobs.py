@@ -32,6 +32,29 @@ def test_long_contexts_go_by_place():
     assert [None if e[0] is None else len(e[0]) for e in got] == [22, len(text) + 22, None, None, None]
 
 
+def test_long_contexts_are_written_out_and_read(spark, monkeypatch):
+    """However long a context is, its example is written in full, and the digest reads it there."""
+    turns = spark.createDataFrame([(c, t, ("user", "assistant")[t % 2], f"é<|im_end|>\U0001f600 {t} " * 9) for c in (1, 2, None)
+                                   for t in range(24)], "conv_id long, turn long, role string, text string")
+    stored = chat_format.format_turns(turns)
+    want = sorted(map(tuple, chat_format.read_digest(stored).collect()), key=str)
+    monkeypatch.setattr(chat_format, "CONTEXT_CHARS", 500)
+    assert sorted(map(tuple, chat_format.read_digest(stored).collect()), key=str) == want
+    assert chat_format.read_digest(stored)._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 2
+    by, texts = {}, {}
+    for r in sorted(chat_format.expand(stored).collect(), key=lambda r: r.part):
+        context, target = by.get((r.conv_id, r.seq), ("", None))
+        assert target is None and len(r.context) <= 500
+        by[r.conv_id, r.seq] = context + r.context, r.target
+    for r in sorted(stored.collect(), key=lambda r: r.seq):
+        before = texts.get(r.conv_id, "")
+        texts[r.conv_id] = before + r.formatted
+        if r.is_example:
+            a, b = (x - r.start for x in (r.target_start, r.target_end))
+            assert by.pop((r.conv_id, r.seq)) == (before + r.formatted[:a], r.formatted[a:b])
+    assert not by and max(map(len, texts.values())) > 8 * 500
+
+
 def test_licenses_are_ranked_by_compression():
     scanner = license_scan.Scanner(license_scan.TEMPLATES)
     for name in ("MIT text", "GPL-3.0 header", "BSD", "MPL-2.0"):
