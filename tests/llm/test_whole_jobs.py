@@ -72,6 +72,28 @@ def test_toxicity_learns_from_all_labelled_rows(spark):
     assert model.weights == {"scum": 6.5 / 7} and model.base == 1.5 / (61_000 - 6 + 1)
 
 
+def test_toxicity_learns_from_all_words(spark):
+    """The language model counts every word, also those of near copies; the lexicon is no bound on it."""
+    common = " ".join(f"shared{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(60))
+    ends = [f"end{chr(97 + i)}{chr(122 - i)}" for i in range(20)]
+    docs = spark.createDataFrame([(i, f"{common} {w}") for i, w in enumerate(ends)] + [(99, "other words 4here")], "doc_id long, text string")
+    labels = docs.selectExpr("doc_id", "CAST(doc_id = 99 AS INT) AS toxic")
+    assert set(ends) <= toxicity.learn(docs, labels).words.keys()
+    model = toxicity.learn(docs, labels, lexicon=1)
+    assert len(model.words) == 1
+    # the shared words stand in several groups of near copies if the ends have the smallest hash
+    groups = {r.w: r.n for r in toxicity._labelled_words(docs.selectExpr("CAST(doc_id = 99 AS INT) AS toxic", "encode(text, 'utf-8') AS t"))
+              .select(F.explode("words").alias("w")).groupBy("w").agg(F.count("*").alias("n")).collect()}
+    want, got = toxicity.CharModel(groups), model.restorer.model
+    assert len(groups) == 60 + 20 + 3
+    for w in groups:
+        text = f" {w} "
+        for i in range(1, len(text)):
+            assert got.logp(text[:i], text[i]) == want.logp(text[:i], text[i])
+            assert got.step(text[:i][-4:], text[i]) == want.step(text[:i][-4:], text[i])
+    assert got.logp(" zq", "x") == want.logp(" zq", "x") and "zqx" not in got.count and got.total[""] == want.total[""]
+
+
 def test_brown_may_cluster_every_word(spark, monkeypatch):
     seen = []
     monkeypatch.setattr(brown_lm, "CLUSTERED", 3)
