@@ -1,6 +1,7 @@
 """Operators do the whole of their named work."""
 
 import time
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -104,6 +105,46 @@ def test_brown_may_cluster_every_word(spark, monkeypatch):
     assert seen == [8]
 
 
+def test_brown_classes_of_all_words_score_the_texts(spark, monkeypatch):
+    """No training word is left to the class of its shape, and a text's score is that of the learned classes."""
+    seen = {}
+    real, real_rare = brown_lm.exchange, brown_lm.exchange_rare
+    monkeypatch.setattr(brown_lm, "exchange", lambda near, n, *a: seen.setdefault("cls", real(near, n, *a)))
+    monkeypatch.setattr(brown_lm, "exchange_rare", lambda *a: seen.setdefault("rare", real_rare(*a)))
+    rng = np.random.default_rng(5)
+    frequent = ["the", "a", "of"]
+    texts = [" ".join(w for _ in range(30) for w in (rng.choice(frequent[:2]), f"n{rng.integers(60)}", "of", f"v{rng.integers(40)}",
+                                                      f"V{rng.integers(9)}x")) for _ in range(30)]
+    train = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    tries = texts[:5] + ["the unseen of", "n1 n2 v3 new1! new2!", ""]
+    got = brown_lm.score(spark.createDataFrame(list(enumerate(tries)), "doc_id long, text string"), train, classes=6, sweeps=3,
+                         clustered=15, looked_up=3).toPandas().sort_values("doc_id")
+    rare, t = seen["rare"]
+    words = [brown_lm.words_of(x.encode()) for x in texts]
+    count = Counter(w for ws in words for w in ws)
+    state = {bytes(r.word): (r.k, r.c) for r in rare.collect()}
+    top = sorted((w for w in count if count[w] >= sum(count.values()) / 15 and w != b"\n"), key=lambda w: (-count[w], w))
+    assert len(top) == 3 and state.keys() | set(top) | {b"\n"} == count.keys()
+    assert all(0 <= k < 6 and c == count[w] for w, (k, c) in state.items())
+    cls = {w: k for w, (k, _) in state.items()} | dict(zip([b"\n", *top], seen["cls"].tolist()))
+    n_cls = 6 + 1 + brown_lm.SHAPES
+    want = np.zeros((n_cls, n_cls))
+    for ws in words:
+        for x, y in zip([ws[-1], *ws], ws):
+            want[cls[x], cls[y]] += 1
+    assert (t == want).all()
+    share, kinds = (want.sum(0) + 0.5) / (want.sum() + 0.5 * n_cls), (want > 0).sum(1) + 1
+    step = np.log10((want + kinds[:, None] * share) / (want.sum(1) + kinds)[:, None])
+    for text, r in zip(tries, got.itertuples()):
+        ws = brown_lm.words_of(text.encode())
+        ks = [cls.get(w, 7 + brown_lm.shape(w)) for w in ws]
+        value = sum(step[a, b] for a, b in zip([ks[-1], *ks], ks))
+        value += sum(np.log10(count[w] / want[:, cls[w]].sum()) for w in ws if w in cls)
+        assert r.score == pytest.approx(value, rel=1e-9) and r.n_known == sum(w in cls for w in ws)
+    # words of like neighbours went together
+    assert max(Counter(k for w, (k, _) in state.items() if w[:1] == b"n").values()) > 45
+
+
 def test_edit_distance_within_is_the_tables_and_quicker():
     """op2 spent two thirds of its search in this distance."""
     def table(item, text):
